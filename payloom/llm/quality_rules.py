@@ -20,6 +20,8 @@ from payloom.llm.common import WHITESPACE, read_table
 
 #: Words in a window of the repetition rule.
 WINDOW = 5
+#: Bits of a long that hold a window's place in its text, up to 16 million words.
+PLACE_BITS = 24
 
 #: Rule name -> failing condition over measurements. The position is the bit; rules are only ever appended.
 RULES: dict[str, str] = {
@@ -47,27 +49,37 @@ def mask(policy: str) -> int:
     return sum(1 << i for i, rule in enumerate(RULES) if rule in POLICIES[policy])
 
 
-def repeat_words(words: Column, hashes: Column) -> Column:
-    """Words that lie in a window of WINDOW words found twice or more in the array.
+def window_keys(words: Column) -> Column:
+    """64-bit keys of all windows of WINDOW = 5 words: keys of pairs, of pairs of pairs, and of those with the last word."""
+    mixed = lambda a, b: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
+    behind = lambda a, k: F.slice(a, F.lit(k + 1), F.greatest(F.size(a) - k, F.lit(0)))
+    named = lambda a, f: F.flatten(F.transform(F.array(a), f))  # noqa: E731  binds an array to a name, so it's made once
+    one = F.transform(words, lambda w: F.xxhash64(w))
+    return named(one, lambda h: named(mixed(h, behind(h, 1)), lambda p: F.slice(mixed(mixed(p, behind(p, 2)), behind(h, 4)), F.lit(1), F.greatest(F.size(h) - 4, F.lit(0)))))
 
-    Hashes of all windows decide, without a mistake, that nothing repeats. Only otherwise are the windows themselves sorted
-    and compared, and the positions of repeated ones merged into runs."""
-    n = F.size(words)
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(0), n - WINDOW)).otherwise(F.array().cast("array<int>"))
-    keys = F.when(n > WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)])))
-    ordered = F.array_sort(F.transform(starts, lambda i: F.struct(F.array_join(F.slice(words, i + 1, WINDOW), " ").alias("w"), i.alias("i"))))
 
-    def repeated(sorted_windows: Column) -> Column:
-        text = lambda k: F.get(sorted_windows, k)["w"]
-        return F.filter(
-            F.transform(sorted_windows, lambda x, k: F.when((x["w"] == text(k - 1)) | (x["w"] == text(k + 1)), x["i"])),
-            lambda i: i.isNotNull(),
-        )
+def repeat_words(n: Column, keys: Column) -> Column:
+    """Words that lie in a window found twice or more, from the keys of all windows of a text of n words.
+
+    Only if keys repeat are they sorted, in one long each: the upper 40 bits of the key and the place. Neighbours with equal full
+    keys are repeats. Where two keys differ but share the upper 40 bits, whole keys are sorted instead."""
+    low = F.lit((1 << PLACE_BITS) - 1)
+    packed = F.sort_array(F.transform(keys, lambda k, i: k.bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("long"))))
+    place = lambda x: x.bitwiseAND(low).cast("int")
+    near = lambda a, b: F.shiftrightunsigned(a.bitwiseXOR(b), PLACE_BITS) == 0
+    named = lambda a, f: F.flatten(F.transform(F.array(a), f))
+
+    def places(p: Column) -> Column:
+        close = F.filter(p, lambda x, j: F.coalesce(near(x, F.get(p, j - 1)), F.lit(False)) | F.coalesce(near(x, F.get(p, j + 1)), F.lit(False)))
+        return named(close, lambda q: F.when(F.exists(F.transform(q, lambda x, j: near(x, F.get(q, j + 1)) & (F.get(keys, place(x)) != F.get(keys, place(F.get(q, j + 1))))), lambda odd: odd), slowly()).otherwise(F.transform(q, place)))
+
+    def slowly() -> Column:
+        whole = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+        key = lambda o, j: F.get(o, j)["k"]
+        return named(whole, lambda o: F.transform(F.filter(o, lambda x, j: F.coalesce(x["k"] == key(o, j - 1), F.lit(False)) | F.coalesce(x["k"] == key(o, j + 1), F.lit(False))), lambda x: x["i"]))
 
-    # the one-element array binds the sorted windows to a name, so they're made once
-    places = F.flatten(F.transform(F.array(ordered), repeated))
     merged = F.aggregate(
-        F.sort_array(places),
+        F.sort_array(named(packed, places)),
         F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("sum")),
         lambda acc, i: F.struct(i.alias("last"), (acc["sum"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("sum")),
         lambda acc: acc["sum"],
@@ -81,7 +93,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     count = lambda pattern: F.length("text") - F.length(F.regexp_replace("text", pattern, ""))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
     cut = docs.select("doc_id", text.alias("text")).withColumns({"words": F.array_remove(F.split("text", WHITESPACE), ""), "lines": lines})
-    hashed = cut.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    hashed = cut.withColumn("keys", window_keys(F.col("words")))
     measured = hashed.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
@@ -89,7 +101,7 @@ def ledger(docs: DataFrame) -> DataFrame:
         count(r"[#*$%&|<>]+").cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("words"), F.col("hashes")).cast("long").alias("n_repeat_words"),
+        repeat_words(F.size("words"), F.col("keys")).cast("long").alias("n_repeat_words"),
         count(r"[A-Z]+").cast("long").alias("n_capitals"),
     )
     bits = [F.when(F.expr(cond), F.lit(1 << i)).otherwise(0).cast("long") for i, cond in enumerate(RULES.values())]
