@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, pii, quality_rules
+from payloom.llm import bpe, language_id, pii, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,8 @@ def queries() -> dict[str, Query]:
         "op3_pii": pii.query,
         "op5_quality_rules": quality_rules.query,
         "op7_bpe": bpe.query,
+        "op8_language_id": language_id.query,
+        "op9_toxicity": toxicity.query,
     }
 
 
