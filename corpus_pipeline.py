@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, pii, quality_rules
+from payloom.llm import bpe, jaccard_join, pii, quality_rules
 from payloom.llm.common import materialize, read_table
 
 
@@ -13,6 +13,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of linked documents stays."""
+    return jaccard_join.one_of_each(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets."""
     return pii.redact_documents(docs)
@@ -25,6 +30,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality),
+    ("jaccard_join", near_duplicates),
     ("pii", personal_data),
     ("bpe", encode),
 ]

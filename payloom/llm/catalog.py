@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, language_id, pii, quality_rules, toxicity
+from payloom.llm import bpe, jaccard_join, language_id, pii, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +18,9 @@ def queries() -> dict[str, Query]:
         "op7_bpe": bpe.query,
         "op8_language_id": language_id.query,
         "op9_toxicity": toxicity.query,
+        "op10_jaccard_join": jaccard_join.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules.sql()}
+    return {"op5_quality_rules": quality_rules.sql(), "op10_jaccard_join": jaccard_join.sql()}
