@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, jaccard_join, pii, quality_rules
+from payloom.llm import bpe, decontamination, jaccard_join, pii, quality_rules
 from payloom.llm.common import materialize, read_table
 
 
@@ -18,6 +18,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard_join.one_of_each(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets."""
     return pii.redact_documents(docs)
@@ -31,6 +36,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality),
     ("jaccard_join", near_duplicates),
+    ("decontamination", decontaminate),
     ("pii", personal_data),
     ("bpe", encode),
 ]

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, jaccard_join, language_id, pii, quality_rules, toxicity
+from payloom.llm import bpe, decontamination, jaccard_join, language_id, pii, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_decontamination": decontamination.query,
         "op3_pii": pii.query,
         "op5_quality_rules": quality_rules.query,
         "op7_bpe": bpe.query,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +55,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
     return x
+
+
+class WordKeys(dict):
+    """64-bit keys of words, remembered up to a number of them."""
+
+    def __init__(self, most: int = 300_000):
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        key = self[word] = xxhash.xxh3_64_intdigest(word)
+        return key
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.clear()
