@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, decontamination, jaccard_join, language_id, pii, quality_rules, toxicity
+from payloom.llm import bpe, decontamination, jaccard_join, language_id, license_scan, pii, quality_classifier, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": license_scan.query,
         "op2_decontamination": decontamination.query,
         "op3_pii": pii.query,
         "op5_quality_rules": quality_rules.query,
+        "op6_quality_classifier": quality_classifier.query,
         "op7_bpe": bpe.query,
         "op8_language_id": language_id.query,
         "op9_toxicity": toxicity.query,
