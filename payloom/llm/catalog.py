@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, decontamination, jaccard_join, language_id, license_scan, pii, quality_classifier, quality_rules, toxicity
+from payloom.llm import bpe, decontamination, jaccard_join, language_id, language_model, license_scan, pii, quality_classifier, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_license_scan": license_scan.query,
         "op2_decontamination": decontamination.query,
         "op3_pii": pii.query,
+        "op4_lm_scoring": language_model.query,
         "op5_quality_rules": quality_rules.query,
         "op6_quality_classifier": quality_classifier.query,
         "op7_bpe": bpe.query,
