@@ -17,7 +17,8 @@ def number(rows: DataFrame, old: DataFrame, id_column: str, *order: str) -> Data
     """Ids behind the largest old one, in a global order, without a single-task window: rows are range-partitioned
     and sorted, and each partition's numbers follow those of the partitions before it."""
     cut = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    cut = cut.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    # kept, because range bounds are sampled: a second evaluation could cut elsewhere
+    cut = cut.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order))).persist()
     sizes = cut.groupBy("_p").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))  # one row per partition
     top = old.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
