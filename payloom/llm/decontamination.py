@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payloom.llm.common import WordKeys, mix64, read_table
+from payloom.llm.common import keys_of, mix64, read_table
 
 #: Edits allowed, as a share of an item's words.
 EDITS = 0.2
@@ -37,8 +37,8 @@ _WORDS = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum
 _PAD = 1024
 
 
-def word_keys(text: str | None, known: WordKeys) -> np.ndarray:
-    return known.of((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())
+def word_keys(text: str | None) -> np.ndarray:
+    return keys_of((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())
 
 
 def stride(length: int) -> int:
@@ -118,8 +118,7 @@ class Index:
 
     @classmethod
     def build(cls, rows: list[tuple[int, str | None]], edits: float = EDITS) -> Index:
-        known = WordKeys()
-        kept = [(i, k) for i, t in rows if len(k := word_keys(t, known))]
+        kept = [(i, k) for i, t in rows if len(k := word_keys(t))]
         index = cls([i for i, _ in kept], [k for _, k in kept])
         by_length: dict[int, list[int]] = {}
         for n, words in enumerate(index.items):
@@ -153,9 +152,9 @@ class Index:
                 each = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
                 yield np.repeat(starts[hit], count) - offsets[each], owners[each]
 
-    def hits(self, texts: list[str | None], known: WordKeys, edits: float = EDITS) -> list[tuple[int, int, int, int]]:
+    def hits(self, texts: list[str | None], edits: float = EDITS) -> list[tuple[int, int, int, int]]:
         """(row, item, edits, end word) of verified matches, the best of each row and item."""
-        rows = [word_keys(t, known) for t in texts]
+        rows = [word_keys(t) for t in texts]
         ends = np.cumsum([len(r) for r in rows])
         flat = np.concatenate([*rows, np.zeros(_PAD, np.uint64)])
         got = list(self.candidates(flat))
@@ -202,10 +201,9 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = context.broadcast(Index.build(block))
 
         def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, known = shared.value, WordKeys()
+            index = shared.value
             for batch in batches:
-                hits = index.hits(batch.column(1).to_pylist(), known)
-                known.turn()
+                hits = index.hits(batch.column(1).to_pylist())
                 ids = batch.column(0).to_pylist()
                 columns = [[ids[r] for r, *_ in hits], [index.ids[i] for _, i, *_ in hits], [e for *_, e, _ in hits], [len(index.items[i]) for _, i, *_ in hits], [x for *_, x in hits]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(columns)], names=["doc_id", "item_id", "n_edits", "n_item_words", "end_word"])
@@ -221,11 +219,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = context.broadcast(Index.build(block))
 
         def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = WordKeys()
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                clean[[r for r, *_ in shared.value.hits(batch.column(at).to_pylist(), known)]] = False
-                known.turn()
+                clean[[r for r, *_ in shared.value.hits(batch.column(at).to_pylist())]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(step, docs.schema)

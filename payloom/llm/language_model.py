@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payloom.llm.common import WordKeys, materialize, mix64, read_table, remainder
+from payloom.llm.common import keys_of, materialize, mix64, read_table, remainder
 
 MU = 300.0
 CHUNK = 6_000_000
@@ -36,6 +36,11 @@ HOT = 0.004
 BEGIN, END = 1, 2  # keys of the marks; words' keys have more bits
 
 
+#: Ones in a byte, and the place of its k-th one.
+POPCOUNT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint8)
+PLACE = np.argsort(1 - np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"), axis=1, kind="stable")
+
+
 class EliasFano:
     """A sorted sequence of integers below 2**63: low bits packed, high bits in unary, with counts of zeros and ones before each 64-bit word."""
 
@@ -68,8 +73,14 @@ class EliasFano:
             part = k[a : a + 65536]
             word = np.searchsorted(counts, part, "right") - 1
             found = self.words[word] if ones else ~self.words[word]
-            bits = np.unpackbits(found.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            out[a : a + 65536] = 64 * word + (np.cumsum(bits, 1, dtype=np.uint8) > (part - counts[word])[:, None]).argmax(1)
+            rest = (part - counts[word]).astype(np.uint8)
+            # the byte that holds it, from the running counts of the word's bytes, then the place in the byte from a table
+            octets = found.view(np.uint8).reshape(-1, 8)
+            running = np.cumsum(POPCOUNT[octets], 1, dtype=np.uint8)
+            byte = (running > rest[:, None]).argmax(1)
+            at = np.arange(len(part))
+            rest -= np.where(byte > 0, running[at, byte - 1], 0).astype(np.uint8)
+            out[a : a + 65536] = 64 * word + 8 * byte + PLACE[octets[at, byte], rest]
         return out
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -163,12 +174,15 @@ class Trie:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one blob; lengths in front, 32-bit counts deflated."""
+    """Arrays as one blob; lengths in front. Counts and codes are deflated, keys (64 bits, or 32 in big-endian order) wouldn't shrink."""
     parts = [zlib.compress(a.tobytes(), 1) if a.dtype in (np.uint32, np.uint8) else a.tobytes() for a in arrays]
     return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
 
 
-def unpack(blob: bytes, *types: type) -> list[np.ndarray]:
+KEY32 = np.dtype(">u4")
+
+
+def unpack(blob: bytes, *types) -> list[np.ndarray]:
     lengths = np.frombuffer(blob, np.int64, len(types))
     ends = 8 * len(types) + np.cumsum(lengths)
     parts = [blob[e - n : e] for e, n in zip(ends, lengths)]
@@ -177,38 +191,42 @@ def unpack(blob: bytes, *types: type) -> list[np.ndarray]:
 
 def bigrams(texts: list[str | None], train: np.ndarray) -> dict[str, np.ndarray]:
     """Distinct bigrams of a chunk, by context and successor, and each token's place in them."""
-    known = WordKeys(1 << 62)
-    rows = [np.r_[np.uint64(BEGIN), known.of((t or "").encode("utf-8", "surrogatepass").lower().split()), np.uint64(END)] for t in texts]
+    rows = [np.r_[np.uint64(BEGIN), keys_of((t or "").encode("utf-8", "surrogatepass").lower().split()), np.uint64(END)] for t in texts]
     lengths = np.array([len(r) - 1 for r in rows], np.int64)
     h, w = np.concatenate([r[:-1] for r in rows]), np.concatenate([r[1:] for r in rows])
     doc = np.repeat(np.arange(len(rows)), lengths)
-    contexts, context = np.unique(h, return_inverse=True)
+    contexts, context = np.unique(h, return_inverse=True)  # a word is the next bigram's context, and the end nobody's
     pairs, place = np.unique(context.astype(np.uint64) << np.uint64(32) | w >> np.uint64(32) ^ w & np.uint64(0xFFFFFFFF), return_inverse=True)
     counts = np.bincount(place, train[doc].astype(float), len(pairs)).astype(np.uint32)
-    return {"lengths": lengths, "doc": doc, "contexts": contexts, "context": context, "word": np.where(w == END, 0, np.searchsorted(contexts, w)), "place": place, "owner": (pairs >> np.uint64(32)).astype(np.int64), "successors": (pairs & np.uint64(0xFFFFFFFF)).astype("<u4"), "counts": counts}
+    return {"lengths": lengths, "doc": doc, "contexts": contexts, "context": context, "word": np.r_[context[1:], 0], "place": place, "owner": (pairs >> np.uint64(32)).astype(np.int64), "successors": (pairs & np.uint64(0xFFFFFFFF)).astype("<u4"), "counts": counts}
 
 
 def routes(b: dict[str, np.ndarray], hot: dict[int, int], shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(shard, entries, fanout, bigrams): contexts, by their place in b, how many bigrams of each go there, and these by place. A hot context has an entry in all its shards."""
     keys = b["contexts"]
-    spread = np.array([min(shards, hot.get(int(k), 1)) for k in keys] if hot else np.ones(len(keys)), np.int64)
+    spread = np.ones(len(keys), np.int64)
+    for key, n in hot.items():
+        at = np.searchsorted(keys, np.uint64(key))
+        if at < len(keys) and keys[at] == key:
+            spread[at] = min(shards, n)
     first = (mix64(keys) % np.uint64(shards)).astype(np.int64)
     entry = np.repeat(np.arange(len(keys)), spread)
     step = np.arange(len(entry)) - np.repeat(np.r_[0, np.cumsum(spread)[:-1]], spread)
     entry_shard = (first[entry] + step) % shards
     bigram_shard = (first[b["owner"]] + (mix64(b["successors"].astype(np.uint64)) % spread[b["owner"]].astype(np.uint64)).astype(np.int64)) % shards
-    order_e, order_b = np.argsort(entry_shard, kind="stable"), np.argsort(bigram_shard, kind="stable")
-    cut_e, cut_b = np.searchsorted(entry_shard[order_e], np.arange(shards + 1)), np.searchsorted(bigram_shard[order_b], np.arange(shards + 1))
+    small = np.uint16 if shards < 1 << 16 else np.int64  # 16 bits are sorted by radix
+    order_e, order_b = np.argsort(entry_shard.astype(small), kind="stable"), np.argsort(bigram_shard.astype(small), kind="stable")
+    cut_e, cut_b = (np.r_[0, np.cumsum(np.bincount(x, minlength=shards))] for x in (entry_shard, bigram_shard))
     for s in range(shards):
         entries, places = order_e[cut_e[s] : cut_e[s + 1]], order_b[cut_b[s] : cut_b[s + 1]]
         if len(entries):
             own = entry[entries]
-            yield s, own, np.bincount(np.searchsorted(own, b["owner"][places]), minlength=len(own)), places
+            yield s, own, np.bincount(b["owner"][places], minlength=len(keys))[own] if len(places) > len(keys) else np.diff(np.r_[np.searchsorted(b["owner"][places], own), len(places)]), places
 
 
 def build_and_answer(rows: list[tuple[int, bytes]]) -> tuple[list[tuple[int, bytes]], np.ndarray, np.ndarray]:
     """One shard: answers to (chunk, request) rows, and its contexts with their training counts."""
-    asked = [unpack(blob, np.uint64, np.uint32, np.uint32, np.uint32) for _, blob in rows]
+    asked = [unpack(blob, np.uint64, np.uint32, KEY32, np.uint32) for _, blob in rows]
     keys = np.unique(np.concatenate([a[0] for a in asked]))
     owner = np.concatenate([np.repeat(np.searchsorted(keys, a[0]), a[1]) for a in asked]).astype(np.uint64)
     pairs = owner << np.uint64(32) | np.concatenate([a[2] for a in asked]).astype(np.uint64)
@@ -249,9 +267,8 @@ def score_chunk(b: dict[str, np.ndarray], answers: dict[int, bytes], hot: dict[i
 def hot_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, n): words above HOT of a batch, and under key 0 all words and under key -1 all bytes."""
     for batch in batches:
-        known = WordKeys(1 << 62)
         data = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(0).to_pylist()]
-        keys = np.concatenate([known.of(d.lower().split()) for d in data] or [np.zeros(0, np.uint64)])
+        keys = np.concatenate([keys_of(d.lower().split()) for d in data] or [np.zeros(0, np.uint64)])
         found, n = np.unique(keys, return_counts=True)
         top = n > max(20, HOT * len(keys))
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[found[top].view(np.int64), 0, -1]), pa.array(np.r_[n[top], len(keys), sum(map(len, data))])], names=["key", "n"])
@@ -273,7 +290,7 @@ def score(docs: DataFrame, mu: float = MU, chunk_bytes: int = CHUNK) -> DataFram
 
     def ask(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         b = bigrams(group["text"].tolist(), ~group["held_out"].to_numpy(bool))
-        out = [(s, int(key[0]), pack(b["contexts"][own], fanout.astype(np.uint32), b["successors"][places].astype(np.uint32), b["counts"][places])) for s, own, fanout, places in routes(b, hot, shards)]
+        out = [(s, int(key[0]), pack(b["contexts"][own], fanout.astype(np.uint32), b["successors"][places].astype(KEY32), b["counts"][places])) for s, own, fanout, places in routes(b, hot, shards)]
         return pd.DataFrame(out, columns=["shard", "chunk", "request"])
 
     def answer(key: tuple, group: pd.DataFrame) -> pd.DataFrame:

@@ -63,7 +63,7 @@ def test_jaccard_join(spark, size, monkeypatch):
 
 def test_join_region_links_connect_like_all_pairs():
     rows = varied(60, 7)
-    sets = jaccard_join.shingle_sets([t for _, t in rows], jaccard_join.WordKeys())
+    sets = jaccard_join.shingle_sets([t for _, t in rows])
     links, _ = jaccard_join.join_region(sets)
     root = list(range(60))
 

@@ -10,7 +10,6 @@ import numpy as np
 import pytest
 
 from payloom.llm import bpe, decontamination, pii, quality_rules
-from payloom.llm.common import WordKeys
 
 EDGES = [(1, None), (2, ""), (3, " \n\t "), (3, " \n\t "), (None, "a b"), (4, "word " * 30000), (5, "x" * 100_000), (6, "1" * 5000), (7, "Üñï cödé  🙂")]
 
@@ -135,9 +134,9 @@ def test_decontamination_recall():
                 w[p] = rng.choice(vocab)
             pad = [[rng.choice(vocab) for _ in range(rng.randint(0, 80))] for _ in range(2)]
             texts.append(" ".join(pad[0] + w + pad[1]).upper().replace(" ", " , ", 2))
-        hits = {(r, index.ids[i]) for r, i, *_ in index.hits(texts, WordKeys())}
+        hits = {(r, index.ids[i]) for r, i, *_ in index.hits(texts)}
         assert sum((r, r % 60) in hits for r in range(300)) / 300 >= least
-    assert index.hits([" ".join(rng.choice(vocab) for _ in range(400)) for _ in range(100)], WordKeys()) == []
+    assert index.hits([" ".join(rng.choice(vocab) for _ in range(400)) for _ in range(100)]) == []
 
 
 def test_decontamination_rows(spark):
