@@ -9,9 +9,10 @@ Distances between unrelated texts crowd at 1, where no pivot tells them apart; s
 3. Regions. The rest order their keys by how many classes hold them, rarest first. Two linked classes share a key among the first
    floor(n / 10) + 1 (prefix filter). The smallest class with a key in that prefix is the key's pivot, and a class belongs to the Voronoi region of every
    pivot that it shares such a key with. Linked classes thus meet in a region.
-4. Join. In a region a pivot takes in all within TAU of it; a set that no pivot takes in becomes a pivot, compared with the sets in the triangle-inequality window
-   of distances to the region's first pivot. A region above REGION members or MASS keys is dealt into parts with the same pivots in each; what no pivot
-   took in, with the settled sets in the windows around it, forms the next, smaller region, joined recursively with four times as many pivots.
+4. Join. In a region each set is a pivot for the sets behind it in the triangle-inequality window of distances to the region's first pivot, but for those
+   that links connect to it already. A region above REGION members or MASS keys is dealt into parts that find the distances to the pivot. Its sets linked to the
+   pivot are connected; the others, with the linked ones in the window around them, form rings of width TAU, of which neighbours are joined two at a time,
+   and rings too large for a task are cut into blocks, of which each two are joined.
 5. Components come from alternating large-star and small-star steps on the links, all in tables.
 
 Empty texts have an empty set, n_shingles 0 and themselves as component. Repeated rows are members of one class. Extra columns are ignored.
@@ -86,17 +87,17 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "n", "keys"])
 
 
-def join_region(sets: list[np.ndarray], n_pivots: int = 0, open_: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links that connect all linked sets, as places (member, pivot), and the distances to the first n_pivots sets.
+def join_region(sets: list[np.ndarray], near: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect all linked sets, as places (member, pivot), and the distances to the first set.
 
-    Every open set is taken in by a pivot or becomes one. Sets lie in the order of their distance to the first pivot, so those that the triangle
-    inequality leaves for another pivot are a window of the order."""
+    Every set in turn is a pivot for those behind it that no link connects to it yet. Sets lie in the order of their distance to the first, so those
+    that the triangle inequality leaves are a window of the order. Sets marked near are known to be connected."""
     m = len(sets)
-    todo = np.ones(m, bool) if open_ is None else open_.copy()
-    todo[:n_pivots] = True
     ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
     sizes = np.array([len(s) for s in sets])
     marked = np.zeros(ids.max() + 1, bool)
+    starts = np.r_[0, np.cumsum(sizes)]
+    own = [ids[a:b] for a, b in zip(starts, starts[1:])]
 
     def common(pivot: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
         marked[pivot] = True
@@ -104,74 +105,81 @@ def join_region(sets: list[np.ndarray], n_pivots: int = 0, open_: np.ndarray | N
         marked[pivot] = False
         return found
 
-    starts = np.r_[0, np.cumsum(sizes)]
-    own = [ids[a:b] for a, b in zip(starts, starts[1:])]
     first = common(own[0], ids, starts[:-1])
-    order = np.argsort(1 - first / (sizes[0] + sizes - first), kind="stable")
-    sorted_ids, sorted_sizes = np.concatenate([own[i] for i in order]), sizes[order]
-    sorted_starts = np.r_[0, np.cumsum(sorted_sizes)]
-    to_first = (1 - first / (sizes[0] + sizes - first))[order]
-    place = np.empty(m, np.int64)
-    place[order] = np.arange(m)
-    distances, links = np.ones((m, n_pivots)), []
-    for p in [*range(n_pivots), *range(n_pivots, m)]:
-        if not todo[p]:
+    distance = 1 - first / (sizes[0] + sizes - first)
+    order = np.argsort(distance, kind="stable")
+    to_first = distance[order]
+    cluster, links = np.arange(m), []
+    if near is not None and near.any():
+        cluster[near] = np.flatnonzero(near)[0]
+    left = len(np.unique(cluster))
+    for p in range(m):
+        if left == 1:
+            break
+        low, high = np.searchsorted(to_first, distance[p] - TAU - 1e-9), np.searchsorted(to_first, distance[p] + TAU + 1e-9, "right")
+        near_by = order[low:high]
+        near_by = near_by[(near_by > p) & (cluster[near_by] != cluster[p])]
+        near_by = near_by[100 * np.minimum(sizes[near_by], sizes[p]) >= PERCENT * np.maximum(sizes[near_by], sizes[p])]
+        if not len(near_by):
             continue
-        low, high = (0, m) if p < n_pivots else (np.searchsorted(to_first, to_first[place[p]] - TAU - 1e-9), np.searchsorted(to_first, to_first[place[p]] + TAU + 1e-9, "right"))
-        inter = common(own[p], sorted_ids[sorted_starts[low] : sorted_starts[high]], sorted_starts[low:high] - sorted_starts[low])
-        union = sizes[p] + sorted_sizes[low:high] - inter
-        linked = order[low:high][100 * inter >= PERCENT * union]
-        links += [(int(x), p) for x in linked if x != p]
-        todo[linked[linked >= n_pivots]] = False
-        todo[p] = False
-        if p < n_pivots:
-            distances[order, p] = 1 - inter / union
-    return links, distances
+        inter = common(own[p], np.concatenate([own[x] for x in near_by]), np.r_[0, np.cumsum(sizes[near_by])[:-1]])
+        for x in near_by[100 * inter >= PERCENT * (sizes[p] + sizes[near_by] - inter)]:
+            links.append((int(x), p))
+            if cluster[x] != cluster[p]:
+                cluster[cluster == cluster[x]] = cluster[p]
+                left -= 1
+    return links, distance
 
 
 def _join_part(group: pd.DataFrame) -> pd.DataFrame:
-    """One part of a region: its links and, for a region of several parts, each member's pivot and distances."""
-    group = group.sort_values(["is_pivot", "rep"], ascending=[False, True]).drop_duplicates("rep")
-    region, parts, reps = group["region"].iat[0], group["parts"].iat[0], group["rep"].to_numpy()
-    k = int(group["is_pivot"].sum())
-    links, d = join_region([np.frombuffer(x, np.uint64) for x in group["keys"]], k, group["open"].to_numpy(bool))
-    rows = [(region, int(reps[x]), True, False, None, None, int(reps[p])) for x, p in links]
-    if parts > 1:
-        home = {}
-        for x, p in links:
-            if p < k:
-                home[x] = min(home.get(x, (2.0, 0)), (float(d[x, p]), p))
-        rows += [(region, int(reps[x]), False, bool(o), home[x][0] if x in home else None, d[x].tolist(), home[x][1] if x in home else None) for x, o in enumerate(group["open"]) if x >= k]
-    return pd.DataFrame(rows, columns=["region", "rep", "link", "open", "d", "distances", "other"]).astype({"other": "Int64"})
+    """A whole region: its links. A part of one: each member's distance to the pivot, and the links to that."""
+    group = group.sort_values("rep").drop_duplicates("rep")
+    region, reps = group["region"].iat[0], group["rep"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in group["keys"]]
+    if group["parts"].iat[0] == 1:
+        rows = [(region, int(reps[x]), True, True, None, int(reps[p])) for x, p in join_region(sets, group["near"].to_numpy(bool))[0]]
+    else:
+        pivot, rows = sets[0], []
+        for rep, s in zip(reps[1:], sets[1:]):
+            inter = len(np.intersect1d(pivot, s, assume_unique=True))
+            union = len(pivot) + len(s) - inter
+            near = 100 * inter >= PERCENT * union
+            rows += [(region, int(rep), False, near, 1 - inter / union, int(reps[0]))] + [(region, int(rep), True, True, None, int(reps[0]))] * near
+    return pd.DataFrame(rows, columns=["region", "rep", "link", "near", "d", "other"])
 
 
 def region_links(members: DataFrame, sets: DataFrame, size: int = REGION, mass: int = MASS) -> DataFrame:
     """Links (rep, other) of all regions. members: (region, rep); sets: (rep, n, keys)."""
-    found: DataFrame | None = None
-    members, pivots = members.select("region", "rep", F.lit(True).alias("open")), 1
-    while True:
-        totals = members.join(sets.select("rep", "n"), "rep").groupBy("region").agg(F.count("*").alias("c"), F.sum("n").alias("mass"))
-        parts = totals.where("c > 1").select("region", F.greatest(F.ceil(F.col("c") / size), F.ceil(F.col("mass") / mass)).cast("int").alias("parts"))
-        rows = members.join(parts, "region")
-        # an open member of each of so many hash classes is a pivot; those of a region in one part need none beforehand
-        slot = F.when(F.col("open"), F.pmod(F.xxhash64("rep"), F.lit(pivots)))
-        chosen = rows.where("open").groupBy("region", slot.alias("slot")).agg(F.min("rep").alias("rep")).select("region", "rep", F.lit(True).alias("is_pivot"))
-        rows = rows.join(chosen, ["region", "rep"], "left").withColumn("is_pivot", F.coalesce("is_pivot", F.lit(False)))
-        own = F.when(F.col("is_pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep", F.lit(1)), F.col("parts")).cast("int")))
-        dealt = rows.withColumn("part", F.explode(own)).join(sets.select("rep", "keys"), "rep")
-        done = materialize(dealt.groupBy("region", "part").applyInPandas(_join_part, "region long, rep long, link boolean, open boolean, d double, distances array<double>, other long"), "jaccard-links")
-        links = done.where("link").select("rep", "other")
-        found = links if found is None else found.unionByName(links)
-        rest = done.where("NOT link")
-        far = rest.where("open AND other IS NULL")
-        if far.isEmpty():
-            return found
-        edge = far.select("region", F.posexplode("distances").alias("other", "x")).groupBy("region", "other").agg(F.min("x").alias("edge"))
-        edge = edge.withColumn("other", F.col("other").cast("long"))
-        window = rest.where("other IS NOT NULL").join(edge, ["region", "other"]).where(F.col("d") >= F.col("edge") - TAU - 1e-9)
-        settled = rest.where("NOT open AND other IS NULL").join(far.select("region").distinct(), "region", "left_semi")
-        again = far.select("region", "rep", "open").unionByName(window.select("region", "rep", F.lit(False).alias("open"))).unionByName(settled.select("region", "rep", "open"))
-        members, pivots = materialize(again, "jaccard-rest"), pivots * 4
+
+    def joined(rows: DataFrame) -> DataFrame:
+        dealt = rows.select("region", "part", "parts", "rep", "near").join(sets.select("rep", "keys"), "rep")
+        return materialize(dealt.groupBy("region", "part").applyInPandas(_join_part, "region long, rep long, link boolean, near boolean, d double, other long"), "jaccard-links")
+
+    def load(rows: DataFrame, *by: str) -> DataFrame:
+        """Times that each group of rows fills a task; groups of one have no links."""
+        totals = rows.join(sets.select("rep", "n"), "rep").groupBy(*by).agg(F.count("*").alias("c"), F.sum("n").alias("mass"), F.min("rep").alias("pivot"), F.min("near").alias("all_near"))
+        return totals.where("c > 1 AND NOT all_near").select(*by, "pivot", F.greatest(F.col("c") / size, F.col("mass") / mass).alias("load"))
+
+    members = members.select("region", "rep", F.lit(False).alias("near"))
+    rows = members.join(load(members, "region"), "region").withColumn("parts", F.ceil("load").cast("int"))
+    # the pivot of a dealt region is in each of its parts
+    own = F.when(F.col("rep") == F.col("pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep", F.lit(1)), F.col("parts")).cast("int")))
+    done = joined(rows.withColumn("part", F.explode(own)))
+    found, rest = done.where("link").select("rep", "other"), done.where("NOT link")
+    far = rest.where("NOT near")
+    if far.isEmpty():
+        return found
+    edge = far.groupBy("region").agg(F.min("d").alias("edge"))
+    window = rest.join(edge, "region").where(~F.col("near") | (F.col("d") >= F.col("edge") - TAU - 1e-9))
+    # linked sets lie in one ring or in neighbouring ones, so two rings at a time are compared
+    ring = F.floor(F.col("d") / (TAU + 1e-9)).cast("int")
+    rings = materialize(window.select("region", "rep", "near", F.explode(F.array(ring, ring - 1)).alias("ring")), "jaccard-rings")
+    # what doesn't fit a task is cut into blocks, and each two blocks are compared
+    rows = rings.join(load(rings, "region", "ring"), ["region", "ring"]).withColumn("blocks", F.when(F.col("load") <= 1, 1).otherwise(F.ceil(2 * F.col("load"))).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int"))
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("block")))
+    rows = rows.withColumn("beside", F.explode(others)).withColumn("part", F.concat_ws(":", "ring", F.least("block", "beside"), F.greatest("block", "beside")))
+    return found.unionByName(joined(rows.withColumn("parts", F.lit(1))).select("rep", "other"))
 
 
 def components(links: DataFrame) -> DataFrame:

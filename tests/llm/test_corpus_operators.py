@@ -78,6 +78,43 @@ def test_join_region_links_connect_like_all_pairs():
     assert [top(i) for i in range(60)] == [c for _, c in components(rows).values()]
 
 
+def chains(seed):
+    """Chains and trees of single edits, in shuffled id order; distant sets hang together by links between copies only."""
+    rng = random.Random(seed)
+    texts = []
+    for tree in range(6):
+        grown = [[f"t{tree}w{i}" for i in range(100)]]
+        for step in range(18):
+            w = list(grown[-1] if tree % 2 else rng.choice(grown))
+            for _ in range(1 + step % 2):
+                w[rng.randrange(100)] = f"n{tree}x{rng.randrange(10**6)}"
+            grown.append(w)
+        texts += [" ".join(w) for w in grown]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_join_region_connects_sets_of_different_pivots():
+    base = [f"w{i}" for i in range(100)]
+    edited = lambda w, i: [*w[:i], f"new{i}", *w[i + 1 :]]
+    d1, d4 = base, edited(base, 29)
+    d0, d3 = edited(d4, 32), edited(d4, 59)
+    rows = list(enumerate(" ".join(w) for w in (d0, d1, edited(d3, 33), d3, d4)))
+    for case in [rows, *map(chains, range(8))]:
+        root = {i: i for i, _ in case}
+        for x, p in jaccard_join.join_region(jaccard_join.shingle_sets([t for _, t in case]))[0]:
+            a, b = root[x], root[p]
+            root = {i: min(a, b) if r in (a, b) else r for i, r in root.items()}
+        assert root == {i: c for i, (_, c) in components(case).items()}
+
+
+@pytest.mark.parametrize("size", [3000, 7])
+def test_jaccard_join_of_chains(spark, size, monkeypatch):
+    monkeypatch.setattr(jaccard_join.region_links, "__defaults__", (size, 3_000_000))
+    rows = chains(11)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(frame(spark, rows)).collect()} == components(rows)
+
+
 def test_jaccard_keeps_one_of_each(spark):
     docs = frame(spark, ODD)
     kept = jaccard_join.one_of_each(docs)
