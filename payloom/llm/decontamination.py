@@ -2,13 +2,14 @@
 
 Texts and benchmark items become words (ASCII lower case, ASCII signs as spaces). The CGK random walk over a window reads one word a step and stays or moves on
 by a random bit of step and word; two windows at small edit distance fall back into step, so their walks agree in most places. A repetition of the LSH samples
-SAMPLED places of one walk into a key; REPETITIONS walks with seeds of their own give the target recall.
+SAMPLED places of one walk into a key.
 
-Windows have the item's size up to alignment: documents are cut at a stride of half the window, and each item is walked from all offsets below the stride, so one
-of its walks starts at the same word as a window that lies inside a copy. A key match is a candidate, which is verified by the exact edit distance between the item
+Walks are short, so that some pass between the edits of a copy at any length of the item: documents are walked from starts a stride apart, items from every word,
+as long as the walk ends inside the item. Steps, stride and repetitions are derived from the item's length and the edits allowed, so that the expected recall of copies
+with the most edits, spread at random, is TARGET. A key match is a candidate if enough words around it are the item's, and is verified by the exact edit distance between the item
 and the best substring of the document there (Myers' bit vectors): at most EDITS of the item's words may be inserted, deleted or replaced.
 
-Items are handled in blocks of BLOCK, one pass over the documents each, so memory is bounded for any benchmark. Null or empty texts and items match nothing.
+Items are handled in blocks of BLOCK items and BLOCK_WORDS words, one pass over the documents each, so memory is bounded for any benchmark. Null or empty texts and items match nothing.
 A document row and an item give at most one hit, the best, then the first. Extra columns are ignored.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,36 +28,70 @@ from payloom.llm.common import keys_of, mix64, read_table
 
 #: Edits allowed, as a share of an item's words.
 EDITS = 0.2
-REPETITIONS, SAMPLED = 4, 3
+#: Expected share of copies with that many edits that are found.
+TARGET, SAMPLED = 0.97, 3
+#: Steps of a walk with the stride of its starts, and repetitions, that are tried for the target.
+SHAPES, REPETITIONS = ((12, 4), (12, 2), (9, 2), (6, 2), (6, 1), (4, 1), (3, 1), (1, 1)), (1, 2, 3, 4, 6, 8)
+#: Words of an item above which its plan doesn't change.
+MODELLED = 64
 #: Items in a block.
 BLOCK = 20_000
-#: Window lengths: about a factor of 4/3 apart.
-LENGTHS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512)
+#: Words that the blocks of items hold at most, but for single items.
+BLOCK_WORDS = 1_000_000
+#: Marks by which an item's words are told at sight.
+MARKS = 1024
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 #: Words behind a text that no walk gets past.
-_PAD = 1024
+_PAD = 64
+#: Bits of a key by which most windows without an item are told.
+SEEN = 20
 
 
 def word_keys(text: str | None) -> np.ndarray:
     return keys_of((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())
 
 
-def stride(length: int) -> int:
-    return max(1, length // 2)
+def marks_of(words: np.ndarray) -> np.ndarray:
+    return (mix64(words) % np.uint64(MARKS)).astype(np.int64)
 
 
-def window_length(n_words: int) -> int:
-    """The longest window that lies inside the item from every offset below its stride."""
-    return max(w for w in LENGTHS if w == 1 or w + stride(w) - 1 <= n_words)
+def places(steps: int, repetition: int) -> list[int]:
+    """Steps that a repetition samples, one from each part, for else a word that the walk stays on would be sampled twice."""
+    rng = np.random.default_rng([steps, repetition])
+    edges = np.linspace(0, steps, SAMPLED + 1).astype(int)
+    return [int(rng.integers(x, max(x + 1, y))) for x, y in zip(edges, edges[1:])]
 
 
-def places(length: int, repetition: int) -> list[int]:
-    """Steps that a repetition samples. As many steps as the window has words take the walk through about half of it."""
-    rng = np.random.default_rng([length, repetition])
-    span = length if length < SAMPLED * 2 else max(length, 4 * SAMPLED)
-    edges = np.linspace(0, span, SAMPLED + 1).astype(int)  # one from each part, for else a word that the walk stays on would be sampled twice
-    return [int(rng.integers(x, max(x + 1, y))) for x, y in zip(edges, edges[1:])]
+@lru_cache(None)
+def recall(n_words: int, steps: int, stride: int, repetitions: int, least: int, edits: float = EDITS) -> float:
+    """Expected share of copies with the most edits that such walks find, if an edited word ends a walk.
+
+    Copies and walks are drawn; walks start at each stride from a random alignment on, and count if they pass the least words and end inside the copy."""
+    rng = np.random.default_rng([n_words, steps, stride, repetitions])
+    trials = 400
+    edited = np.argsort(rng.random((trials, n_words)), 1) < int(edits * n_words)
+    ahead = np.minimum.accumulate(np.where(edited, np.arange(n_words), n_words)[:, ::-1], 1)[:, ::-1]  # the first edited word from each on, or the end
+    grid = (np.arange(n_words) - rng.integers(0, stride, (trials, 1))) % stride == 0
+    found = np.zeros(trials, bool)
+    for repetition in range(repetitions):
+        passed = rng.binomial(places(steps, repetition)[-1], 0.5, (trials, n_words))
+        found |= (grid & (passed >= least) & (np.arange(n_words) + passed < ahead)).any(1)
+    return float(found.mean())
+
+
+@lru_cache(None)
+def plan(n_words: int, edits: float = EDITS) -> tuple[int, int, int, int]:
+    """Steps, stride, repetitions and least words passed for an item: the most telling keys, then the fewest walks, whose expected recall is TARGET.
+
+    Longer items than MODELLED have more starts, so they need no more than those."""
+    n_words = min(n_words, MODELLED)
+    for least in (2, 1, 0):
+        for steps, stride in SHAPES:
+            for repetitions in REPETITIONS:
+                if recall(n_words, steps, stride, repetitions, least, edits) >= TARGET:
+                    return steps, stride, repetitions, least
+    return 1, 1, 1, 0
 
 
 class Coins:
@@ -71,10 +107,10 @@ class Coins:
         return self.made[repetition, block]
 
 
-def walk(coins: Coins, starts: np.ndarray, length: int, repetition: int) -> np.ndarray:
-    """LSH keys of the windows at starts; odd repetitions walk through the second half. Behind the last window the words are padded."""
-    words, wanted = coins.words, places(length, repetition)
-    at = starts + (length // 2) * (repetition % 2)
+def walk(coins: Coins, starts: np.ndarray, steps: int, repetition: int) -> tuple[np.ndarray, np.ndarray]:
+    """LSH keys of the walks from starts, and the places of their last words. Behind the last start the words are padded."""
+    words, wanted = coins.words, places(steps, repetition)
+    at = starts
     key = np.zeros(len(starts), np.uint64)
     for step in range(wanted[-1] + 1):
         for _ in range(wanted.count(step)):
@@ -84,7 +120,7 @@ def walk(coins: Coins, starts: np.ndarray, length: int, repetition: int) -> np.n
             bits >>= step % 64
             bits &= 1
             at = at + bits
-    return key
+    return key, at
 
 
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -110,41 +146,47 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 @dataclass
 class Index:
-    """A block of items: for each window length and repetition the sorted keys with item and offset."""
+    """A block of items: for each kind of walk and repetition the sorted keys with item and offset, and each item's marks."""
 
     ids: list[int]
     items: list[np.ndarray]
-    tables: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    tables: list[tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    marks: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
     @classmethod
     def build(cls, rows: list[tuple[int, str | None]], edits: float = EDITS) -> Index:
         kept = [(i, k) for i, t in rows if len(k := word_keys(t))]
         index = cls([i for i, _ in kept], [k for _, k in kept])
-        by_length: dict[int, list[int]] = {}
+        index.marks = np.zeros(len(index.items) * MARKS, bool)
+        by_plan: dict[tuple[int, int, int, int], list[int]] = {}
         for n, words in enumerate(index.items):
-            by_length.setdefault(window_length(len(words)), []).append(n)
-        for length, members in sorted(by_length.items()):
-            flat = np.concatenate([np.r_[index.items[n], np.zeros(_PAD, np.uint64)] for n in members])
-            firsts = np.cumsum([0] + [len(index.items[n]) + _PAD for n in members[:-1]])
-            offsets = np.tile(np.arange(stride(length)), len(members))
-            starts = np.repeat(firsts, stride(length)) + offsets
-            owners = np.repeat(members, stride(length))
-            coins = Coins(flat)
-            for repetition in range(REPETITIONS):
-                keys = walk(coins, starts, length, repetition)
-                order = np.argsort(keys, kind="stable")
-                seen = np.zeros(1 << 16, bool)
-                seen[(keys >> np.uint64(48)).astype(np.int64)] = True
-                index.tables.append((length, repetition, keys[order], owners[order], offsets[order], seen))
+            by_plan.setdefault(plan(len(words), edits), []).append(n)
+            index.marks[n * MARKS + marks_of(words)] = True
+        found: dict[tuple[int, int, int], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        for (steps, stride, repetitions, least), members in sorted(by_plan.items()):
+            sizes = np.array([len(index.items[n]) for n in members])
+            coins = Coins(np.concatenate([*(index.items[n] for n in members), np.zeros(_PAD, np.uint64)]))
+            starts, ends = np.arange(sizes.sum()), np.repeat(np.cumsum(sizes), sizes)
+            owners, offsets = np.repeat(np.array(members, np.int32), sizes), (starts - ends + np.repeat(sizes, sizes)).astype(np.int32)
+            for repetition in range(repetitions):
+                keys, last = walk(coins, starts, steps, repetition)
+                inside = (last < ends) & (last - starts >= least)
+                found.setdefault((steps, stride, repetition), []).append((keys[inside], owners[inside], offsets[inside]))
+        for (steps, stride, repetition), some in sorted(found.items()):
+            keys, owners, offsets = (np.concatenate(x) for x in zip(*some))
+            order = np.argsort(keys, kind="stable")
+            seen = np.zeros(1 << SEEN, bool)
+            seen[(keys >> np.uint64(64 - SEEN)).astype(np.int64)] = True
+            index.tables.append((steps, stride, repetition, keys[order], owners[order], offsets[order], seen))
         return index
 
     def candidates(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places where an item could begin, and the items, for a run of words that is padded by _PAD."""
         n, coins = len(words) - _PAD, Coins(words)
-        for length, repetition, keys, owners, offsets, seen in self.tables:
-            starts = np.arange(0, n, stride(length))
-            found = walk(coins, starts, length, repetition)
-            hit = np.flatnonzero(seen[(found >> np.uint64(48)).astype(np.int64)])
+        for steps, stride, repetition, keys, owners, offsets, seen in self.tables:
+            starts = np.arange(0, n, stride)
+            found, _ = walk(coins, starts, steps, repetition)
+            hit = np.flatnonzero(seen[(found >> np.uint64(64 - SEEN)).astype(np.int64)])
             low, high = np.searchsorted(keys, found[hit], "left"), np.searchsorted(keys, found[hit], "right")
             count = high - low
             hit, low, count = hit[count > 0], low[count > 0], count[count > 0]
@@ -152,6 +194,17 @@ class Index:
                 each = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
                 yield np.repeat(starts[hit], count) - offsets[each], owners[each]
 
+    def alike(self, words: np.ndarray, first: np.ndarray, lengths: np.ndarray, item: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Whether runs of words hold at least so many words with a mark of the item; every word of the item has one."""
+        out, marks = np.zeros(len(first), bool), marks_of(words)
+        cuts = np.searchsorted(np.cumsum(lengths), np.arange(0, lengths.sum(), 1 << 20))
+        for a, b in zip(cuts, [*cuts[1:], len(first)]):
+            if a < b:
+                n, before = lengths[a:b], np.cumsum(lengths[a:b]) - lengths[a:b]
+                at = np.repeat(first[a:b] - before, n) + np.arange(n.sum())
+                out[a:b] = np.add.reduceat(self.marks[np.repeat(item[a:b] * MARKS, n) + marks[at]], before, dtype=np.int64) >= least[a:b]
+        return out
+
     def hits(self, texts: list[str | None], edits: float = EDITS) -> list[tuple[int, int, int, int]]:
         """(row, item, edits, end word) of verified matches, the best of each row and item."""
         rows = [word_keys(t) for t in texts]
@@ -163,16 +216,18 @@ class Index:
         begin, item = (np.concatenate(x) for x in zip(*got))
         row = np.searchsorted(ends, np.clip(begin, 0, None), "right")
         # an item may be shifted over the edge of a text, so its neighbour is tried, too
-        triples = {(int(r), int(i), int(b) // 4) for r, i, b in zip(row, item, begin)} | {(int(r) + 1, int(i), int(b) // 4) for r, i, b in zip(row, item, begin)}
+        r, i, b = np.unique(np.stack([np.r_[row, row + 1], np.r_[item, item], np.r_[begin, begin] // 4]), axis=1)
+        r, i, b = (x[r < len(rows)] for x in (r, i, b))
+        sizes = np.array([len(x) for x in self.items])[i]
+        lengths = np.array([len(x) for x in rows])[r]
+        allowed = np.array([int(edits * len(x)) for x in self.items])[i]
+        low = np.maximum(0, 4 * b - (ends[r] - lengths) - allowed - 4)
+        high = np.minimum(lengths, 4 * b + 4 - (ends[r] - lengths) + sizes + 2 * allowed + 4)
+        some = np.flatnonzero(high - low >= np.maximum(1, sizes - allowed))
+        some = some[self.alike(flat, ends[r[some]] - lengths[some] + low[some], high[some] - low[some], i[some], (sizes - allowed)[some])]
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for r, i, b in sorted(triples):
-            if r >= len(rows):
-                continue
-            first = int(ends[r]) - len(rows[r])
-            m = len(self.items[i])
-            allowed = int(edits * m)
-            low, high = max(0, 4 * b - first - allowed - 4), min(len(rows[r]), 4 * b + 4 - first + m + 2 * allowed + 4)
-            if high - low >= m - allowed and best.get((r, i), (m, 0))[0] > 0:
+        for r, i, low, high, m, allowed in zip(*(x[some].tolist() for x in (r, i, low, high, sizes, allowed))):
+            if best.get((r, i), (m, 0))[0] > 0:
                 if np.isin(self.items[i], rows[r][low:high]).sum() < m - allowed:  # every word that isn't there is an edit
                     continue
                 found, end = best_match(self.items[i], rows[r][low:high])
@@ -181,14 +236,17 @@ class Index:
         return [(r, i, *x) for (r, i), x in best.items()]
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[list[tuple[int, str | None]]]:
+def blocks(benchmark: DataFrame, size: int = BLOCK, words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, str | None]]]:
     """The items in blocks of bounded size, one at a time on the driver."""
     block: list[tuple[int, str | None]] = []
+    held = 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
-        block.append((r[0], r[1]))
-        if len(block) == size:
+        n = len(word_keys(r[1]))
+        if block and (len(block) == size or held + n > words):
             yield block
-            block = []
+            block, held = [], 0
+        block.append((r[0], r[1]))
+        held += n
     if block:
         yield block
 

@@ -139,6 +139,27 @@ def test_decontamination_recall():
     assert index.hits([" ".join(rng.choice(vocab) for _ in range(400)) for _ in range(100)]) == []
 
 
+@pytest.mark.parametrize("n", [5, 8, 10, 15, 20, 30, 60, 100, 200, 400])
+@pytest.mark.parametrize("indels", [False, True])
+def test_decontamination_recall_at_any_length(n, indels):
+    rng = random.Random(n)
+    vocab = [f"w{i}" for i in range(20_000)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(n))) for i in range(20)]
+    index = decontamination.Index.build(items)
+    for percent in (0, 10, 20):
+        texts = []
+        for i in range(100):
+            w = items[i % 20][1].split()
+            for p in rng.sample(range(n), n * percent // 100):
+                kind = rng.randrange(3) if indels else 0
+                p = min(p, len(w) - 1)
+                w[p : p + (kind != 1)] = [rng.choice(vocab)] * (kind != 2)
+            pad = [[rng.choice(vocab) for _ in range(rng.randint(0, 80))] for _ in range(2)]
+            texts.append(" ".join(pad[0] + w + pad[1]))
+        hits = {(r, index.ids[i]) for r, i, *_ in index.hits(texts)}
+        assert sum((r, r % 20) in hits for r in range(100)) / 100 >= (0.9 if percent else 1.0)
+
+
 def test_decontamination_rows(spark):
     item = " ".join(f"q{i}" for i in range(30))
     bench = spark.createDataFrame([(1, item, 0), (2, None, 0), (3, "", 0), (4, " ".join(f"z{i}" for i in range(16)), 0)], "item_id long, text string, extra int")
@@ -151,6 +172,11 @@ def test_decontamination_rows(spark):
     assert [len(b) for b in decontamination.blocks(bench, 3)] == [3, 1]
 
 
+def test_decontamination_blocks_are_bounded_by_words(spark):
+    bench = spark.createDataFrame([(i, "a b c d") for i in range(5)], "item_id long, text string").coalesce(1)
+    assert [len(b) for b in decontamination.blocks(bench, 9, words=8)] == [2, 2, 1]
+
+
 def test_held_out_remainders(spark):
     from pyspark.sql import functions as F
 
