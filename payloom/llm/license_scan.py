@@ -1,6 +1,6 @@
 """Licence scan in DataFrame functions: a trained paragraph classifier, confirmed by template comparison.
 
-A paragraph is a line of a text. One with a cue (the start of a word that every licence notice here has one of) becomes a sparse vector of hashed
+A paragraph is a line of a text. One with a cue (a licence word, the wording of a notice or the name of a family) becomes a sparse vector of hashed
 word one- and two-grams; multinomial logistic regression gives a probability for each licence family and for `none`, the class of prose that only
 mentions such words. If no family reaches the calibrated threshold, the paragraph is `unknown`. A family is confirmed if the paragraph and one of the
 family's templates share enough n-grams. Paragraphs without a cue and those classed as `none` give no row.
@@ -13,6 +13,7 @@ Null and empty texts have no paragraphs; repeated rows give repeated results; ex
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,14 @@ BUCKETS = 1024
 BACKGROUND = 400
 #: Share of the smaller n-gram set that a paragraph and a template have in common, for confirmation.
 OVERLAP = 0.5
-#: A paragraph without any of these, in lower case, isn't a licence notice.
-CUES = ("licen", "copyright", "permission", "warrant", "redistribut", "spdx", "public domain", "all rights reserved", "creative commons", " gpl", "©")
+#: A paragraph without any of these isn't scored: beginnings of words and wordings in any case, names of families as whole words in any case, and those that
+#: are words of other languages, in capitals only. Every notice below, and every name and identifier by itself, has one (tested).
+CUES = (
+    "licen", "copyright", "permission", "warrant", "redistribut", "spdx", "public domain", "all rights reserved", "creative commons", "gpl", "©",
+    "released under", "distributed under", "available under", "published under", "under the terms",
+)
+NAMES = ("apache", "bsd", "mpl", "mozilla public", "general public", "cc0", "cc[ -]by", "expat")
+CAPITALS = ("MIT", "ISC")
 
 #: family -> (identifiers, names, sentences that are characteristic of its text)
 FAMILIES: dict[str, tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]] = {
@@ -81,6 +88,8 @@ PROSE = (
     "His fishing licence had run out in March.", "The film treats copyright as a joke.", "Officers had no warrant for the search.", "The city redistributed the seats after the census.",
     "Dogs must have a license in this county.", "He did not give permission for the photo.", "The song fell into the public domain long ago.", "A licensed electrician checked the wiring.",
     "The conditions warrant further study.", "Copyright law was the subject of her talk.", "The bar lost its liquor licence.", "They license the brand to a toy maker.",
+    "The Apache people lived in the hills of the south.", "Leaflets were distributed under the bridge all morning.", "The film was released under a new title.", "Both sides acted under the terms of the treaty.",
+    "More seats were made available under the roof.", "She studied physics at MIT for two years.", "The book was published under a false name.", "The general public was let in at noon.",
 )
 
 
@@ -97,10 +106,14 @@ def buckets(found: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int")))
 
 
+def cue_pattern() -> str:
+    """Of a text with a cue, in one pass; most places fail at the look-ahead for a first character."""
+    first = "".join(sorted({x for c in (*CUES, *NAMES, *CAPITALS) for x in (c[0].lower(), c[0].upper())}))
+    return rf"(?=[{first}])(?:(?i:{'|'.join(CUES)})|\b(?:(?i:{'|'.join(NAMES)})|{'|'.join(CAPITALS)})\b)"
+
+
 def has_cue(text: Column) -> Column:
-    """Whether a text has a cue, in one pass whatever its case; most places fail at the look-ahead for a first character."""
-    first = "".join(sorted({c[0] for c in CUES}))
-    return text.rlike(f"(?i)(?=[{first}])(?:{'|'.join(CUES)})")
+    return text.rlike(cue_pattern())
 
 
 def constant(value: list, kind: str) -> Column:
@@ -135,7 +148,7 @@ def train(docs: DataFrame) -> LicenseModel:
     spark = docs.sparkSession
     lines = docs.select(F.explode(F.split("text", "\n")).alias("text")).where((F.length("text") < 400) & (F.length("text") > 10)).select("text", F.xxhash64("text").alias("h"))
     background = [r["text"] for r in lines.orderBy("h", "text").limit(2 * BACKGROUND).collect()]
-    background = [t for t in background if not any(c in t.lower() for c in CUES)][:BACKGROUND]
+    background = [t for t in background if not re.search(cue_pattern(), t)][:BACKGROUND]
     made = notices() + [("none", t) for t in background]
     unheard = [("unheard", n.format(name)) for n in NOTICES for name in UNHEARD]
     frame = spark.range(1).select(F.explode(constant([{"family": f, "text": t} for f, t in made + unheard], "array<struct<family:string,text:string>>")).alias("x")).select("x.*")

@@ -201,6 +201,17 @@ def test_license_scan(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_license_scan_gates_no_notice_out(spark):
+    names = [x for ids, names, _ in license_scan.FAMILIES.values() for x in (*ids, *names)]
+    texts = [t for f, t in license_scan.notices() if f != "none"] + names + [t.format("Orchid 3") for t in license_scan.NOTICES]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "Er kam mit dem Zug.", "a simple example"])], "doc_id long, text string")
+    assert [r["doc_id"] for r in docs.where(~license_scan.has_cue(docs["text"])).orderBy("doc_id").collect()] == [len(texts), len(texts) + 1]
+    lost = {"Released under the GNU LGPL v3.": "LGPL", "Distributed under the terms of the GNU AGPL v3.": "AGPL", "Released under the LGPLv2.": "LGPL", "Distributed under the terms of the CC BY-SA 4.0.": "CC-BY-SA", "This project is made available under the CC0 1.0 Universal.": "CC0"}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*lost, *license_scan.PROSE])], "doc_id long, text string")
+    got = {r["doc_id"]: r["family"] for r in license_scan.scan(docs, license_scan.train(docs.where(f"doc_id >= {len(lost)}"))).collect()}
+    assert got == dict(enumerate(lost.values()))
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "decontamination", "pii", "bpe"]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
