@@ -50,7 +50,8 @@ LOGIN_AT = re.compile(r"[^\s/@:?#]+:[^\s/@?#]+@[A-Za-z0-9.-]+").match
 IBAN_AT = re.compile(r"[ :#=]{1,3}(?P<id>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8})(?![A-Za-z0-9])").match
 SSN_AT = re.compile(r"[ :#=]{1,3}(?P<id>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])").match
 ACCOUNT_AT = re.compile(r"(?: (?:no|number|nr|id)\.?)?[ :#=]{1,3}(?P<id>[A-Z]{0,2}[0-9]{6,18})(?![A-Za-z0-9])", re.I).match
-SECRET_AT = re.compile(r"""["']?[ ]?[:=][ ]?["']?(?P<id>[A-Za-z0-9_+/.=-]{8,256})""").match
+SECRET_AT = re.compile(r"""["']?[ ]?[:=][ ]?["']?(?P<id>[A-Za-z0-9_+/.=-]{8})""").match
+SECRET_REST_AT = re.compile(r"[A-Za-z0-9_+/.=-]*").match
 PARSERS = {"iban": IBAN_AT, "ssn": SSN_AT, "account": ACCOUNT_AT, "secret": SECRET_AT}
 
 
@@ -130,14 +131,17 @@ def find_spans(text: str | None) -> list[Span]:
                 if 8 <= sum(c.isdigit() for c in m.group()) <= 15:
                     found["phone"].append(("phone", start, m.end()))
         elif tag == "scheme":
-            if start >= after["url_login"] and (m := LOGIN_AT(text, last + 1, last + 513)):
+            if start >= after["url_login"] and (m := LOGIN_AT(text, last + 1)):
                 after["url_login"] = m.end()
                 found["url_login"].append(("url_login", start, m.end()))
         elif (start == 0 or not text[start - 1].isalnum()) and (m := PARSERS[kind](text, last + 1)) and m.start("id") >= after[kind]:
-            value = m.group("id")
+            end = m.end()
+            if kind == "secret":  # a cue inside a value isn't expanded again, whether the value counts or not
+                end = after[kind] = SECRET_REST_AT(text, end).end()
+            value = text[m.start("id") : end]
             if (kind != "iban" or iban_ok(value)) and (kind != "secret" or any(c.isdigit() for c in value)):
-                after[kind] = m.end()
-                found[kind].append((kind, m.start("id"), m.end("id")))
+                after[kind] = end
+                found[kind].append((kind, m.start("id"), end))
     return [s for k in KINDS for s in found[k]]
 
 

@@ -49,6 +49,17 @@ def test_pii_added_kinds_and_redaction():
     assert pii.redact("plain words", []) == "plain words" and pii.find_spans(None) == []
 
 
+def test_pii_long_secrets_and_logins():
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcXYZ0189_-.") for _ in range(3000)) + "9end"
+    text = f"token={long} then https://bob:{long}@host.example.org/x"
+    spans = pii.find_spans(text)
+    assert ("secret", 6, 6 + len(long)) in spans and ("url_login", text.index("https"), text.index("/x")) in spans
+    assert pii.redact(text, spans) == "token=[SECRET] then [URL_LOGIN]/x"
+    cues = "token=" * 30_000
+    assert [s for s in pii.find_spans(cues) if s[0] == "secret"] == [] and [s for s in pii.find_spans(cues + "1") if s[0] == "secret"] == [("secret", 6, len(cues) + 1)]
+
+
 def test_pii_rows(spark):
     rows = {r["doc_id"]: r for r in pii.scan(frame(spark, [*EDGES, (9, "mail a.b@c.de now")])).collect()}
     assert rows[9]["n_email"] == 1 and rows[9]["spans"] == "email:5:13" and rows[9]["base_sha256"] == hashlib.sha256(b"email:5:13").hexdigest()
