@@ -6,7 +6,7 @@ spherical k-means; the nearest centroid by cosine wins. A text farther from it t
 marked as rejected, while the nearest language is still reported.
 
 Document frequencies are counted over all training documents. The clusters are fitted on a bounded sample (SAMPLE documents, dealt
-evenly over languages by hash). Null texts and texts without letters are `und` with score 0. Without a training document all are `und`.
+evenly over all languages by hash, one of each at least). Null texts and texts without letters are `und` with score 0. Without a training document all are `und`.
 """
 
 from __future__ import annotations
@@ -17,14 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payloom.llm.common import read_table, remainder
 
 DIMENSIONS = 4096
-#: Documents that clusters are fitted on, at most about this many; languages, the most frequent ones.
-SAMPLE, LANGUAGES = 3000, 200
+#: Documents that clusters are fitted on, about this many, but one of each language at least.
+SAMPLE = 3000
 CLUSTERS = 3
 #: Bytes that go through the counter at once.
 BLOCK = 1 << 22
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids:
 
     seen = train.select("lang", "text").mapInArrow(frequencies, "k string, n long").groupBy("k").agg(F.sum("n").alias("n"))
     fixed = seen.where(~F.col("k").startswith("l")).collect()
-    langs = seen.where(F.col("k").startswith("l")).orderBy(F.desc("n"), "k").limit(LANGUAGES).collect()
+    langs = seen.where(F.col("k").startswith("l")).orderBy(F.desc("n"), "k").collect()
     df = np.zeros(DIMENSIONS)
     n = 0
     for r in fixed:
@@ -138,10 +138,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids:
     rows = []
     if langs:
         draw = F.pmod(F.xxhash64("doc_id", F.lit("centroids")), F.lit(1 << 30)) / float(1 << 30)
-        rows = train.where(draw < F.try_element_at(share, "lang")).select("lang", "text").limit(2 * sample).collect()
+        rows = train.where(draw < F.try_element_at(share, "lang")).select("lang", "text").limit(2 * max(sample, len(langs))).collect()
         missing = {r["k"][1:] for r in langs} - {r["lang"] for r in rows}
-        for lang in sorted(missing):  # too few for the draw
-            rows += train.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").select("lang", "text").limit(each).collect()
+        if missing:  # too few for the draw
+            order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+            rows += train.where(F.col("lang").isin(sorted(missing))).withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).orderBy("lang", "place").select("lang", "text").collect()
     return Centroids.fit([(r["lang"], r["text"]) for r in rows], np.log((1 + n) / (1 + df)) + 1)
 
 

@@ -178,6 +178,18 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in language_id.identify(docs.limit(3), untaught).collect()} == {"und"}
 
 
+def test_language_id_learns_every_language(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(230):
+        rng = random.Random(k)
+        words = ["".join(rng.choice(letters) for _ in range(7)) for _ in range(6)]
+        rows += [(10 * k + i, f"l{k:03}", " ".join(words)) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = language_id.identify(docs, language_id.fit(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) == len(rows) and all(r["lang"] == r["lang_pred"] for r in got)
+
+
 def test_toxicity_and_quality(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").collect()
