@@ -20,7 +20,7 @@ from payloom.llm.common import WHITESPACE, read_table
 
 #: Words in a window of the repetition rule.
 WINDOW = 5
-#: Bits of a long that hold a window's place in its text, up to 16 million words.
+#: Bits of a long that hold a window's place in its text. Texts with more windows than these count have whole keys sorted instead.
 PLACE_BITS = 24
 
 #: Rule name -> failing condition over measurements. The position is the bit; rules are only ever appended.
@@ -62,7 +62,7 @@ def repeat_words(n: Column, keys: Column) -> Column:
     """Words that lie in a window found twice or more, from the keys of all windows of a text of n words.
 
     Only if keys repeat are they sorted, in one long each: the upper 40 bits of the key and the place. Neighbours with equal full
-    keys are repeats. Where two keys differ but share the upper 40 bits, whole keys are sorted instead."""
+    keys are repeats. Where two keys differ but share the upper 40 bits, or places need more bits than are left, whole keys are sorted instead."""
     low = F.lit((1 << PLACE_BITS) - 1)
     packed = F.sort_array(F.transform(keys, lambda k, i: k.bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("long"))))
     place = lambda x: x.bitwiseAND(low).cast("int")
@@ -79,7 +79,7 @@ def repeat_words(n: Column, keys: Column) -> Column:
         return named(whole, lambda o: F.transform(F.filter(o, lambda x, j: F.coalesce(x["k"] == key(o, j - 1), F.lit(False)) | F.coalesce(x["k"] == key(o, j + 1), F.lit(False))), lambda x: x["i"]))
 
     merged = F.aggregate(
-        F.sort_array(named(packed, places)),
+        F.sort_array(F.when(n <= F.lit(1 << PLACE_BITS), named(packed, places)).otherwise(slowly())),
         F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("sum")),
         lambda acc, i: F.struct(i.alias("last"), (acc["sum"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("sum")),
         lambda acc: acc["sum"],
@@ -129,9 +129,13 @@ def ablations(rows: DataFrame, policy: str = PRODUCTION) -> DataFrame:
 
 
 def keep(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
-    """The rows of docs that the policy keeps, all columns. The verdict is reached row by row, so nothing is joined or shuffled."""
+    """The rows of docs that the policy keeps, all columns. The verdict is reached row by row, so nothing is joined or shuffled.
+
+    The optimiser would put the whole ledger in place of each name in the filter, and build a text's windows anew for each of their elements;
+    a filter doesn't pass a generator, so one of a single row holds the verdict."""
     carried = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"))
-    return apply_policy(ledger(carried), policy).where("kept").select("doc_id.*")
+    verdicts = apply_policy(ledger(carried), policy).select(F.inline(F.array(F.struct("doc_id", "kept"))))
+    return verdicts.where("kept").select("doc_id.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

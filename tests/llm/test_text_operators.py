@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -93,6 +94,25 @@ def test_quality_ledger_policies(spark):
     assert quality_rules.ablations(quality_rules.ledger(frame(spark, []))).count() == len(quality_rules.RULES)
 
 
+def test_quality_keep_evaluates_the_ledger_once(spark):
+    long = "one two three " * 7000 + " ".join(f"w{i}" for i in range(3000))
+    docs = frame(spark, [(1, long), (2, " ".join(f"v{i}" for i in range(40)))])
+    hashes = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("xxhash64")
+    assert hashes(quality_rules.keep(docs)) == hashes(quality_rules.apply_policy(quality_rules.ledger(docs)))
+    start = time.perf_counter()
+    assert [r["doc_id"] for r in quality_rules.keep(docs).collect()] == [2]
+    assert time.perf_counter() - start < 30  # minutes, if windows are built anew for each element
+
+
+def test_quality_repeats_by_whole_keys(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 60)))) for i in range(200)]
+    want = sorted(map(tuple, quality_rules.ledger(frame(spark, rows)).collect()))
+    for bits in (4, 60):  # places that don't fit; upper bits of keys that all agree
+        monkeypatch.setattr(quality_rules, "PLACE_BITS", bits)
+        assert sorted(map(tuple, quality_rules.ledger(frame(spark, rows)).collect())) == want
+
+
 @pytest.mark.parametrize("leaf,grow,agree", [(64, 4, 4), (2048, 64, 8)])
 def test_bpe_equals_library(leaf, grow, agree):
     enc = bpe.TreeEncoder(bpe.default_path(), leaf=leaf, grow=grow, agree=agree)
