@@ -50,12 +50,13 @@ def folding() -> tuple[str, str, dict[str, str]]:
 
 
 def fold_accents(text: Column) -> Column:
+    """Without accents and compatibility forms; ASCII text, the usual case, is only looked over."""
     old, new, several = folding()
     folded = F.translate(text, old, new)
     pattern = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in several) + "]"
     table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
     spelled = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-    return F.when(folded.rlike(pattern), spelled).otherwise(folded)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.when(folded.rlike(pattern), spelled).otherwise(folded)).otherwise(text)
 
 
 def vendor_key(raw: Column, fold: bool = True) -> Column:

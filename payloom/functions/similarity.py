@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Names at least 11/20 alike are similar; compared in integers, so no rounding decides.
 NUMERATOR, DENOMINATOR = 11, 20
+#: Names that one group of a trigram holds; groups of commoner ones are cut.
+BLOCK = 500
 
 
 def trigrams(name: Column) -> Column:
@@ -23,19 +25,37 @@ def similarity(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(both.cast("double"), F.size(F.array_union(x, y)).cast("double")), F.lit(0.0))
 
 
-def similar_pairs(names: DataFrame, key: str, name: str) -> DataFrame:
-    """(a, b, shared, total) for all ordered pairs of different keys whose names are similar.
+def alike(a: Column, b: Column) -> Column:
+    """Whether two trigram sets are similar; sets without trigrams never are."""
+    return F.size(F.array_intersect(a, b)) * DENOMINATOR >= F.greatest(F.size(F.array_union(a, b)), F.lit(1)) * NUMERATOR
+
 
-    Prefix filter: with trigrams ordered rarest first, two sets of Jaccard similarity t share one of their first |A| - ceil(t |A|) + 1. Only those
-    meet in an equi join; the pairs are then verified exactly. Nothing is broadcast and no pair of unrelated names is formed."""
+def prefixes(names: DataFrame, key: str, name: str) -> DataFrame:
+    """(k, g): of each name the trigrams, rarest first, of which two similar names share one.
+
+    With trigrams in one global order, two sets of Jaccard similarity t share one of their first |A| - ceil(t |A|) + 1."""
     sets = names.select(F.col(key).alias("k"), trigrams(F.col(name)).alias("grams")).where(F.size("grams") > 0)
     grams = sets.select("k", F.explode("grams").alias("g"))
     counted = grams.join(grams.groupBy("g").agg(F.count("*").alias("df")), "g")
     ordered = counted.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o"))
     size = F.size("o")
     length = size - F.ceil(size * NUMERATOR / DENOMINATOR).cast("int") + 1
-    prefix = ordered.select("k", F.explode(F.slice("o", F.lit(1), length)).alias("p")).select("k", "p.g")
-    candidates = prefix.select(F.col("k").alias("a"), "g").join(prefix.select(F.col("k").alias("b"), "g"), "g").where("a < b").select("a", "b").distinct()
+    return ordered.select("k", F.explode(F.slice("o", F.lit(1), length)).alias("p")).select("k", "p.g")
+
+
+def similar_pairs(names: DataFrame, key: str, name: str, block: int = BLOCK) -> DataFrame:
+    """(a, b, shared, total) for all ordered pairs of different keys whose names are similar.
+
+    Only names that share a trigram of their prefixes meet, in an equi join. A trigram that more than `block` names have is dealt into blocks, of which
+    each two meet in a group of their own, so no group grows with the names. The pairs are then verified exactly; nothing is broadcast."""
+    sets = names.select(F.col(key).alias("k"), trigrams(F.col(name)).alias("grams")).where(F.size("grams") > 0)
+    prefix = prefixes(names, key, name)
+    counts = prefix.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = prefix.join(counts, "g").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    # the names of two blocks meet once: the lower block comes first, and within one block both roles are taken
+    low = dealt.select(F.col("k").alias("a"), "g", F.col("own").alias("x"), F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)).alias("y"))
+    high = dealt.select(F.col("k").alias("b"), "g", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("x"), F.col("own").alias("y"))
+    candidates = low.join(high, ["g", "x", "y"]).where((F.col("a") < F.col("b")) | (F.col("x") < F.col("y"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     left, right = sets.select(F.col("k").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("k").alias("b"), F.col("grams").alias("gb"))
     met = candidates.join(left, "a").join(right, "b").select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("shared"), F.size(F.array_union("ga", "gb")).alias("total"))
     kept = met.where(F.col("shared") * DENOMINATOR >= F.col("total") * NUMERATOR)
