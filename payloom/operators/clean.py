@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from payloom.functions import cleaning as C
 from payloom.schemas import DEFAULT_TERMS, RAW_COLUMNS
 
+# The reasons for rejection, here and in reject_reason.
 REPEATED_LINE = "repeated_line_number_within_invoice"
 CLEAN_COLUMNS = (
     "vendor_name", "vendor_normalized", "tax_id", "payment_terms_days", "invoice_number", "invoice_number_normalized", "invoice_date", "due_date", "amount", "currency",
@@ -67,18 +68,29 @@ def typed(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> DataFrame:
 
 
 def mark_repeated_lines(rows: DataFrame) -> DataFrame:
-    """Of accepted rows with the same vendor, raw number and line number in a file, only the first stays accepted."""
-    key = Window.partitionBy(F.col("reject_reason").isNull(), "source_file", "vendor_normalized", "invoice_number", "line_number").orderBy("source_row")
+    """Of accepted rows with the same vendor, raw number and line number in a file, only the first stays accepted. Rejected rows, of which
+    many can have the same blank key, are dealt by their row instead."""
+    alone = F.when(F.col("reject_reason").isNotNull(), F.col("source_row"))
+    key = Window.partitionBy(alone, "source_file", "vendor_normalized", "invoice_number", "line_number").orderBy("source_row")
     again = F.col("reject_reason").isNull() & (F.row_number().over(key) > 1)
     return rows.withColumn("reject_reason", F.when(again, REPEATED_LINE).otherwise(F.col("reject_reason")))
 
 
-def clean_frame(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> tuple[DataFrame, DataFrame]:
-    """(clean, rejects): typed rows, and raw rows with reason."""
-    rows = mark_repeated_lines(typed(raw, default_terms))
+def marked(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> DataFrame:
+    """Typed rows with their raw row and the reason for rejection, if any."""
+    return mark_repeated_lines(typed(raw, default_terms))
+
+
+def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean, rejects) of marked rows: typed rows, and raw rows with reason."""
     return rows.where("reject_reason IS NULL").select(*CLEAN_COLUMNS), rows.where("reject_reason IS NOT NULL").select("raw.*", "reject_reason", "source_file", "source_row")
 
 
+def clean_frame(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> tuple[DataFrame, DataFrame]:
+    """(clean, rejects) of raw rows."""
+    return parted(marked(raw, default_terms))
+
+
 def split_invoices(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(headers, lines). A header takes of each column the first value in file order that isn't null."""
     firsts = [F.expr(f"min_by({c}, source_row) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in HEADER_COLUMNS if c not in ("vendor_normalized", "invoice_number", "source_row", "source_file")]

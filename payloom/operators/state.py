@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payloom.operators.rules import tier
+from payloom.sources.shared import written
 from payloom.schemas import EXCEPTIONS, INVOICE_LINES, INVOICES, VENDORS
 
 
@@ -17,8 +18,8 @@ def number(rows: DataFrame, old: DataFrame, id_column: str, *order: str) -> Data
     """Ids behind the largest old one, in a global order, without a single-task window: rows are range-partitioned
     and sorted, and each partition's numbers follow those of the partitions before it."""
     cut = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    # kept, because range bounds are sampled: a second evaluation could cut elsewhere
-    cut = cut.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order))).persist()
+    # written once, because range bounds are sampled: a second evaluation, after a loss, too, could cut elsewhere
+    cut = written(cut.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order))))
     sizes = cut.groupBy("_p").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))  # one row per partition
     top = old.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
@@ -26,30 +27,47 @@ def number(rows: DataFrame, old: DataFrame, id_column: str, *order: str) -> Data
     return numbered.withColumn(id_column, (F.col("_top") + F.coalesce("_before", F.lit(0)) + F.col("_i")).cast("long")).drop("_p", "_i", "_before", "_top")
 
 
-def merge_vendors(old: DataFrame, headers: DataFrame, now: Column) -> DataFrame:
-    """Unseen keys come in with their first spelling; of known vendors only the terms change. In a file the first row of a key counts."""
+def new_vendors(old: DataFrame, headers: DataFrame, now: Column) -> DataFrame:
+    """Vendors of unseen keys, with their first spelling."""
     fields = F.struct("vendor_name", "payment_terms_days", "tax_id")
-    new = headers.groupBy("vendor_normalized").agg(F.min_by(fields, F.struct("source_row")).alias("f"), F.min("source_row").alias("source_row")).select(F.col("vendor_normalized").alias("normalized_name"), "f.*", "source_row")
-    kept = old.join(new.select("normalized_name", F.col("payment_terms_days").alias("terms")), "normalized_name", "left").withColumn("payment_terms_days", F.coalesce("terms", "payment_terms_days"))
-    fresh = number(new.join(old, "normalized_name", "left_anti"), old, "vendor_id", "source_row", "normalized_name")
-    added = fresh.select("vendor_id", F.col("vendor_name").alias("name"), "normalized_name", F.col("payment_terms_days").cast("int").alias("payment_terms_days"), "tax_id", now.alias("created_at"))
-    return kept.select(*_names(VENDORS)).unionByName(added)
+    first = headers.groupBy("vendor_normalized").agg(F.min_by(fields, F.struct("source_row")).alias("f"), F.min("source_row").alias("source_row")).select(F.col("vendor_normalized").alias("normalized_name"), "f.*", "source_row")
+    fresh = number(first.join(old, "normalized_name", "left_anti"), old, "vendor_id", "source_row", "normalized_name")
+    return fresh.select("vendor_id", F.col("vendor_name").alias("name"), "normalized_name", F.col("payment_terms_days").cast("int").alias("payment_terms_days"), "tax_id", now.alias("created_at"))
 
 
-def insert_invoices(old: DataFrame, headers: DataFrame, vendors: DataFrame, now: Column) -> DataFrame:
+def retermed_vendors(old: DataFrame, headers: DataFrame) -> DataFrame:
+    """Stored vendors with the terms of the first row of their key in a file, if it has any; nothing else changes."""
+    terms = headers.groupBy(F.col("vendor_normalized").alias("normalized_name")).agg(F.min_by("payment_terms_days", "source_row").cast("int").alias("terms"))
+    return old.join(terms, "normalized_name", "left").withColumn("payment_terms_days", F.coalesce("terms", "payment_terms_days")).select(*_names(VENDORS))
+
+
+def merge_vendors(old: DataFrame, headers: DataFrame, now: Column) -> DataFrame:
+    """The next vendors: known ones with new terms, and unseen ones."""
+    return retermed_vendors(old, headers).unionByName(new_vendors(old, headers, now))
+
+
+def new_invoices(old: DataFrame, headers: DataFrame, vendors: DataFrame, now: Column) -> DataFrame:
     """Invoices whose vendor and raw number aren't stored yet, numbered in file order; stored ones never change. Headers of unknown vendors are left out."""
     keyed = headers.join(vendors.select("vendor_id", F.col("normalized_name").alias("vendor_normalized")), "vendor_normalized")
     fresh = number(keyed.join(old, ["vendor_id", "invoice_number"], "left_anti"), old, "invoice_id", "source_row", "vendor_id", "invoice_number")
-    return old.unionByName(fresh.withColumn("loaded_at", now).select(*_names(INVOICES)))
+    return fresh.withColumn("loaded_at", now).select(*_names(INVOICES))
 
 
-def insert_lines(old: DataFrame, lines: DataFrame, vendors: DataFrame, invoices: DataFrame) -> DataFrame:
+def insert_invoices(old: DataFrame, headers: DataFrame, vendors: DataFrame, now: Column) -> DataFrame:
+    return old.unionByName(new_invoices(old, headers, vendors, now))
+
+
+def new_lines(old: DataFrame, lines: DataFrame, vendors: DataFrame, invoices: DataFrame) -> DataFrame:
     """Lines not stored yet, also for invoices that were there before. Lines without a total are left out; a missing unit price is the total."""
     keyed = lines.where("line_total IS NOT NULL").join(vendors.select("vendor_id", F.col("normalized_name").alias("vendor_normalized")), "vendor_normalized")
     keyed = keyed.join(invoices.select("vendor_id", "invoice_number", "invoice_id"), ["vendor_id", "invoice_number"])
     fresh = number(keyed.join(old, ["invoice_id", "line_number"], "left_anti"), old, "line_id", "source_row", "invoice_id", "line_number")
     out = fresh.withColumns({"description": F.col("line_description"), "unit_price": F.coalesce("unit_price", "line_total").cast("decimal(14,4)")})
-    return old.unionByName(out.select(*_names(INVOICE_LINES)))
+    return out.select(*_names(INVOICE_LINES))
+
+
+def insert_lines(old: DataFrame, lines: DataFrame, vendors: DataFrame, invoices: DataFrame) -> DataFrame:
+    return old.unionByName(new_lines(old, lines, vendors, invoices))
 
 
 def stale_tiers(state: DataFrame, aging: DataFrame) -> DataFrame:
@@ -59,10 +77,18 @@ def stale_tiers(state: DataFrame, aging: DataFrame) -> DataFrame:
     return late.join(current, "invoice_id").where("rule_code <> now_code").drop("now_code")
 
 
-def merge_findings(state: DataFrame, found: DataFrame, aging: DataFrame, now: Column) -> DataFrame:
-    """Retire stale tiers, then add findings whose (invoice, rule, related) isn't stored, resolved or not. Stored findings never change."""
-    kept = state.join(stale_tiers(state, aging).select("exception_id"), "exception_id", "left_anti")
-    have, new = kept.select("invoice_id", "rule_code", "related_id").alias("h"), found.dropDuplicates(["invoice_id", "rule_code", "related_id"]).alias("n")
+def new_findings(kept: DataFrame, found: DataFrame, state: DataFrame, now: Column) -> DataFrame:
+    """Findings whose (invoice, rule, related) isn't among the kept ones, resolved or not, numbered behind the whole state.
+
+    Of findings with the same three the one with the least detail, then severity, comes in."""
+    once = found.groupBy("invoice_id", "rule_code", "related_id").agg(F.min(F.struct("detail", "severity")).alias("f")).select("invoice_id", "rule_code", "related_id", "f.*")
+    have, new = kept.select("invoice_id", "rule_code", "related_id").alias("h"), once.alias("n")
     same = (F.col("n.invoice_id") == F.col("h.invoice_id")) & (F.col("n.rule_code") == F.col("h.rule_code")) & F.col("n.related_id").eqNullSafe(F.col("h.related_id"))
     fresh = number(new.join(have, same, "left_anti").withColumn("_related", F.coalesce("related_id", F.lit(-1))), state, "exception_id", "rule_code", "invoice_id", "_related")
-    return kept.unionByName(fresh.withColumns({"detected_at": now, "resolved_at": F.lit(None).cast("timestamp")}).select(*_names(EXCEPTIONS)))
+    return fresh.withColumns({"detected_at": now, "resolved_at": F.lit(None).cast("timestamp")}).select(*_names(EXCEPTIONS))
+
+
+def merge_findings(state: DataFrame, found: DataFrame, aging: DataFrame, now: Column) -> DataFrame:
+    """Retire stale tiers, then add new findings. Stored findings never change."""
+    kept = state.join(stale_tiers(state, aging).select("exception_id"), "exception_id", "left_anti")
+    return kept.select(*_names(EXCEPTIONS)).unionByName(new_findings(kept, found, state, now))

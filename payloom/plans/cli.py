@@ -1,4 +1,4 @@
-"""Command line: python -m payloom.plans.cli {migrate,ingest,rules,report,pipeline} --store FOLDER [--force] [FILE ...]"""
+"""Command line: python -m payloom.plans.cli {migrate,ingest,rules,report,pipeline,vacuum} --store FOLDER [--force] [FILE ...], or generate --out FOLDER [--count N] [--seed N]"""
 
 from __future__ import annotations
 
@@ -7,18 +7,30 @@ import argparse
 from pyspark.sql import SparkSession
 
 from payloom.plans import ingest as runs
+from payloom.sources import synthetic
 from payloom.sources.store import Store
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="payloom")
-    parser.add_argument("verb", choices=("migrate", "ingest", "rules", "report", "pipeline"))
+    parser.add_argument("verb", choices=("migrate", "ingest", "rules", "report", "pipeline", "vacuum", "generate"))
     parser.add_argument("files", nargs="*")
-    parser.add_argument("--store", required=True)
+    parser.add_argument("--store")
     parser.add_argument("--quarantine")
     parser.add_argument("--force", action="store_true")
-    given = parser.parse_args(arguments)
-    store = Store(spark or SparkSession.builder.appName("payloom").getOrCreate(), given.store)
+    parser.add_argument("--count", type=int, default=3000)
+    parser.add_argument("--seed", type=int, default=42)
+    parser.add_argument("--out")
+    given = parser.parse_intermixed_args(arguments)
+    needed = "out" if given.verb == "generate" else "store"
+    if getattr(given, needed) is None:
+        parser.error(f"{given.verb} needs --{needed}")
+    spark = spark or SparkSession.builder.appName("payloom").getOrCreate()
+    if given.verb == "generate":
+        synthetic.write_csv(synthetic.generate(spark, given.count, given.seed), given.out)
+        print("written:", given.out)
+        return 0
+    store = Store(spark, given.store)
     verbs = ("migrate", "ingest", "rules", "report") if given.verb == "pipeline" else (given.verb,)
     for verb in verbs:
         if verb == "migrate":
@@ -26,6 +38,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         elif verb == "ingest":
             for done in runs.ingest(store, given.files, given.force, given.quarantine):
                 print("already present:" if done["already_present"] else "ingested:", done)
+        elif verb == "vacuum":
+            print("folders deleted:", store.vacuum())
         elif verb == "rules":
             found = runs.run_rules(store)
             print("\n".join(f"  {code:<16}{n:>8}" for code, n in found.items()), f"\n  {'total':<16}{sum(found.values()):>8}")

@@ -7,32 +7,31 @@ from pyspark.sql import functions as F
 
 from payloom.operators import clean, rules, state, views
 from payloom.sources.csv_files import file_hash, read_raw, write_quarantine
+from payloom.sources.shared import written
 from payloom.sources.store import Store
 
 
 def apply_raw(store: Store, raw: DataFrame, now: Column, quarantine: str | None = None, stem: str = "batch") -> dict[str, int]:
-    """Clean raw rows and merge them into the store; counts of what happened."""
-    raw = raw.cache()
-    accepted, rejects = clean.clean_frame(raw)
+    """Clean raw rows and stage what is new in them; counts of what happened. Nothing that is stored is written again but vendors whose terms change."""
+    rows = written(clean.marked(raw))
+    accepted, rejects = clean.parted(rows)
     headers, lines = clean.split_invoices(accepted)
-    headers = headers.cache()
-    # the merges read the published versions, and each step's result feeds the next
-    vendors = state.merge_vendors(store.table("vendors"), headers, now).cache()
-    before = store.table("invoices").count()
-    invoices = state.insert_invoices(store.table("invoices"), headers, vendors, now).cache()
-    stored = state.insert_lines(store.table("invoice_lines"), lines, vendors, invoices).cache()
-    counts = {"rows_read": raw.count(), "rows_rejected": rejects.count(), "headers": headers.count(), "inserted": invoices.count() - before, "vendors": vendors.count(), "lines": stored.count() - store.table("invoice_lines").count()}
-    counts["skipped"] = counts["headers"] - counts["inserted"]
+    headers = written(headers)
+    vendors = store.table("vendors")
+    fresh = store.stage("vendors", state.new_vendors(vendors, headers, now))
+    changed = state.retermed_vendors(vendors, headers)
+    if not changed.select("vendor_id", "payment_terms_days").exceptAll(vendors.select("vendor_id", "payment_terms_days")).isEmpty():
+        store.stage("vendors", changed.unionByName(fresh), replace=True)
+    inserted = store.stage("invoices", state.new_invoices(store.table("invoices"), headers, store.table("vendors"), now))
+    added = store.stage("invoice_lines", state.new_lines(store.table("invoice_lines"), lines, store.table("vendors"), store.table("invoices")))
     if quarantine:
         write_quarantine(rejects, quarantine, stem)
-    store.publish({"vendors": vendors, "invoices": invoices, "invoice_lines": stored})
-    for df in (raw, headers, vendors, invoices, stored):
-        df.unpersist()
-    return counts
+    counts = {"rows_read": rows.count(), "rows_rejected": rejects.count(), "headers": headers.count(), "inserted": inserted.count(), "vendors": vendors.count() + fresh.count(), "lines": added.count()}
+    return counts | {"skipped": counts["headers"] - counts["inserted"]}
 
 
-def ingest_file(store: Store, path: str, force: bool = False, quarantine: str | None = None, now: Column | None = None) -> dict:
-    """One file. A file whose content was ingested before is skipped unless forced; its ledger row keeps the first run's counts."""
+def stage_file(store: Store, path: str, force: bool = False, quarantine: str | None = None, now: Column | None = None) -> dict:
+    """Stage one file and its ledger row. A file whose content was ingested before is skipped unless forced; its ledger row keeps the first run's counts."""
     spark, now = store.spark, F.current_timestamp() if now is None else now
     digest = file_hash(spark, path)
     ledger = store.table("ingest_runs")
@@ -42,22 +41,31 @@ def ingest_file(store: Store, path: str, force: bool = False, quarantine: str |
     name = path.rstrip("/").rsplit("/", 1)[-1]
     counts = apply_raw(store, read_raw(spark, path), now, quarantine, name.rsplit(".", 1)[0])
     if known:
-        runs = ledger.withColumn("finished_at", F.when(F.col("file_hash") == digest, now).otherwise(F.col("finished_at")))
+        store.stage("ingest_runs", ledger.withColumn("finished_at", F.when(F.col("file_hash") == digest, now).otherwise(F.col("finished_at"))), replace=True)
     else:
         top = ledger.agg(F.coalesce(F.max("run_id"), F.lit(0)).alias("top"))
-        row = top.select((F.col("top") + 1).alias("run_id"), F.lit(name).alias("source_file"), F.lit(digest).alias("file_hash"), *[F.lit(counts[k]).cast("int").alias(c) for k, c in (("rows_read", "rows_read"), ("inserted", "rows_loaded"), ("rows_rejected", "rows_rejected"))], now.alias("started_at"), now.alias("finished_at"))
-        runs = ledger.unionByName(row)
-    store.publish({"ingest_runs": runs})
+        store.stage("ingest_runs", top.select((F.col("top") + 1).alias("run_id"), F.lit(name).alias("source_file"), F.lit(digest).alias("file_hash"), *[F.lit(counts[k]).cast("int").alias(c) for k, c in (("rows_read", "rows_read"), ("inserted", "rows_loaded"), ("rows_rejected", "rows_rejected"))], now.alias("started_at"), now.alias("finished_at")))
     return {"file": path, "already_present": False} | counts
 
 
-def ingest(store: Store, paths: list[str], force: bool = False, quarantine: str | None = None) -> list[dict]:
-    """Several files in order; all must exist before the first is read."""
-    jvm_path = store._path
-    missing = [p for p in paths if not jvm_path(p).getFileSystem(store.spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path(p))]
+def ingest(store: Store, paths: list[str], force: bool = False, quarantine: str | None = None, now: Column | None = None) -> list[dict]:
+    """Several files (or folders of them) in order, published together with their ledger rows: all or none. All must exist before the first is read."""
+    found = {p: store.files(p) for p in paths}
+    missing = [p for p, files in found.items() if not files]
     if missing:
         raise FileNotFoundError(", ".join(missing))
-    return [ingest_file(store, p, force, quarantine) for p in paths]
+    try:
+        done = [stage_file(store, f, force, quarantine, now) for p in paths for f in found[p]]
+        if not all(d["already_present"] for d in done):
+            store.publish()
+    except BaseException:
+        store.roll_back()
+        raise
+    return done
+
+
+def ingest_file(store: Store, path: str, force: bool = False, quarantine: str | None = None, now: Column | None = None) -> dict:
+    return ingest(store, [path], force, quarantine, now)[0]
 
 
 def run_rules(store: Store, as_of: Column | None = None, now: Column | None = None) -> dict[str, int]:
@@ -65,8 +73,13 @@ def run_rules(store: Store, as_of: Column | None = None, now: Column | None = No
     as_of, now = F.current_date() if as_of is None else as_of, F.current_timestamp() if now is None else now
     invoices, lines, vendors = (store.table(t) for t in ("invoices", "invoice_lines", "vendors"))
     found = rules.all_findings(invoices, lines, vendors, as_of)
-    merged = state.merge_findings(store.table("exceptions"), found, views.aging(invoices, vendors, as_of), now)
-    store.publish({"exceptions": merged})
+    stored = store.table("exceptions")
+    stale = written(state.stale_tiers(stored, views.aging(invoices, vendors, as_of)).select("exception_id"))
+    kept = stored.join(stale, "exception_id", "left_anti")
+    fresh = store.stage("exceptions", state.new_findings(kept, found, stored, now))
+    if not stale.isEmpty():  # else the new part is all that changes
+        store.stage("exceptions", kept.unionByName(fresh), replace=True)
+    store.publish()
     counts = store.table("exceptions").where("resolved_at IS NULL").groupBy("rule_code").count().orderBy("rule_code").collect()
     return {r["rule_code"]: r["count"] for r in counts}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Columns of the files and of the tables, names of buckets and rules.
 RAW_COLUMNS = (
     "invoice_number", "vendor_name", "tax_id", "invoice_date", "due_date", "payment_terms_days", "amount", "currency", "status", "gl_code",
     "line_number", "line_description", "quantity", "unit_price", "line_total",

@@ -21,8 +21,14 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_hash(spark: SparkSession, path: str) -> str:
-    """SHA-256 of a file's bytes, read by Spark, so from any store."""
-    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]
+    """SHA-256 of a file's bytes, streamed through the file system's own reader, so of any size and from any store."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    data = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(data)
+    finally:
+        data.close()
 
 
 def write_quarantine(rejects: DataFrame, folder: str, stem: str) -> None:

@@ -1,8 +1,9 @@
-"""Versioned Parquet tables: a run writes the next version of what it changes, then publishes all of them by one small write."""
+"""Versioned Parquet tables. A version names the parts of each table; runs stage further parts and publish all they staged by one small write."""
 
 from __future__ import annotations
 
 import json
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,46 +11,85 @@ from payloom.schemas import TABLES
 
 
 class Store:
+    """Readers see the last published version. What a run staged is seen by the run itself only, and by nobody if it fails before it publishes."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         jvm = spark.sparkContext._jvm
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self.versions: dict[str, str] = self._read()
+        self.step, self.parts = self._read()
+        self._last = -1
+
+    def _names(self, folder: str) -> list[str]:
+        path = self._path(f"{self.root}/{folder}")
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
 
-    def _read(self) -> dict[str, str]:
-        """The newest published state; an unpublished version is never seen."""
-        if not self._fs.exists(self._path(f"{self.root}/_published")):
-            return {}
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/_published")) if s.getPath().getName().isdigit())
+    def _read(self) -> tuple[int, dict[str, list[str]]]:
+        """Number and parts of the newest published version."""
+        names = [n for n in self._names("_published") if n.isdigit()]
         if not names:
-            return {}
+            return 0, {}
         rows = self.spark.read.text(f"{self.root}/_published/{names[-1]}", wholetext=True)
-        return json.loads(rows.first()[0])
+        return int(names[-1]), json.loads(rows.first()[0])
+
+    def files(self, path: str) -> list[str]:
+        """The file, those that a pattern fits, or the CSV files of a folder, by name; none if there is nothing."""
+        there = self._path(path)
+        fs = there.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = []
+        for status in fs.globStatus(there) or []:
+            inside = [s.getPath() for s in fs.listStatus(status.getPath())] if status.isDirectory() else [status.getPath()]
+            found += [p.toString() for p in inside if not status.isDirectory() or p.getName().endswith(".csv")]
+        return sorted(found)
 
     def migrate(self) -> None:
         """Create missing tables, empty."""
-        missing = {t: self.spark.createDataFrame([], schema) for t, schema in TABLES.items() if t not in self.versions}
+        missing = [t for t in TABLES if t not in self.parts]
+        for t in missing:
+            self.stage(t, self.spark.createDataFrame([], TABLES[t]), replace=True)
         if missing:
-            self.publish(missing)
+            self.publish()
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}/{self.versions[name]}")
-
-    def publish(self, tables: dict[str, DataFrame]) -> None:
-        """Write new versions, then switch to all of them at once."""
-        step = max([0, *(int(v) for v in self.versions.values())]) + 1
-        names = {}
-        for name, df in tables.items():
-            columns = [c.split()[0] for c in TABLES[name].split(", ")]
-            df.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{name}/{step:08d}")
-            names[name] = f"{step:08d}"
-        versions = self.versions | names
+        """All parts of a table, those staged by this run included."""
+        return self.spark.read.schema(TABLES[name]).parquet(*[f"{self.root}/{name}/{p}" for p in self.parts[name]])
+
+    def stage(self, name: str, rows: DataFrame, replace: bool = False) -> DataFrame:
+        """Write rows as a further part of a table, or as the whole of its next version; they are read back from there."""
+        self._last += 1
+        part = f"{self.step + 1:08d}-{self._last:04d}-{uuid4().hex[:8]}"
+        path = f"{self.root}/{name}/{part}"
+        rows.select(*[c.split()[0] for c in TABLES[name].split(", ")]).write.mode("overwrite").parquet(path)
+        self.parts = self.parts | {name: [part] if replace else [*self.parts[name], part]}
+        return self.spark.read.schema(TABLES[name]).parquet(path)
+
+    def publish(self) -> None:
+        """Switch to all that was staged, at once. If another run published meanwhile, this fails and nothing changes."""
+        step = self.step + 1
         temporary, final = self._path(f"{self.root}/_staged-{step:08d}"), self._path(f"{self.root}/_published/{step:08d}")
         out = self._fs.create(temporary, True)
-        out.write(bytearray(json.dumps(versions).encode()))
+        out.write(bytearray(json.dumps(self.parts).encode()))
         out.close()
         self._fs.mkdirs(self._path(f"{self.root}/_published"))
         if not self._fs.rename(temporary, final):
             raise RuntimeError(f"version {step} was published by another run")
-        self.versions = versions
+        self.step, self._last = step, -1
+
+    def roll_back(self) -> None:
+        """Forget what was staged."""
+        self.step, self.parts = self._read()
+        self._last = -1
+
+    def compact(self, name: str) -> None:
+        """Stage a table's parts as one."""
+        self.stage(name, self.table(name), replace=True)
+
+    def vacuum(self) -> int:
+        """Delete parts that the published version doesn't name, and older versions; how many folders went. Not beside readers of these or runs."""
+        step, parts = self._read()
+        old = [f"{name}/{part}" for name in TABLES for part in self._names(name) if part not in parts.get(name, [])]
+        old += [f"_published/{n}" for n in self._names("_published") if n.isdigit() and int(n) < step]
+        for path in old:
+            self._fs.delete(self._path(f"{self.root}/{path}"), True)
+        return len(old)

@@ -49,7 +49,12 @@ def generate(spark: SparkSession, count: int = 3000, seed: int = 42, today: dt.d
     age = F.datediff(F.lit(today), day)
     paid = draw("paid") < F.least(F.lit(0.95), age / 200)
     name = F.concat_ws(" ", pick("first", *FIRST), pick("second", *SECOND))
-    typo = F.concat(F.substring(name, 1, 7), F.substring(name, 7, 1), F.substring(name, F.lit(8), F.length(name)))
+    # a slip in the second, longer word: a letter twice, or left out of long words; either keeps most trigrams
+    word = pick("second", *SECOND)
+    at = 3 + (draw("slip") * (F.length(word) - 3)).cast("int")
+    doubled = F.concat(F.substring(word, F.lit(1), at), F.substring(word, at, F.length(word)))
+    dropped = F.concat(F.substring(word, F.lit(1), at - 1), F.substring(word, at + 1, F.length(word)))
+    typo = F.concat_ws(" ", pick("first", *FIRST), F.when((F.length(word) >= 8) & (draw("drop") < 0.5), dropped).otherwise(doubled))
     spelled = F.concat(F.when(F.col("planted") == "fuzzy", typo).otherwise(name), pick("form", " Inc", ", Inc.", " Incorporated", ""))
     number = F.concat(F.lit("INV-"), F.lpad((F.col("id") + 1).cast("string"), 6, "0"))
     numbered = F.when(F.col("planted") == "exact", F.concat(F.lit("inv "), (F.col("id") + 1).cast("string"))).when(F.col("planted") == "near", F.concat(F.lit("RB-"), (F.col("id") + 1).cast("string"))).when(F.col("planted") == "fuzzy", F.concat(F.lit("FZ-"), (F.col("id") + 1).cast("string"))).otherwise(number)
@@ -80,5 +85,7 @@ def generate(spark: SparkSession, count: int = 3000, seed: int = 42, today: dt.d
     )
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
-    rows.select(*RAW_COLUMNS).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(rows: DataFrame, path: str, seed: int = 42) -> None:
+    """The raw columns in a shuffled order of invoices, the same for a seed; an invoice's lines stay together. One part per output partition."""
+    order = F.xxhash64("vendor_name", "invoice_number", F.lit(seed))
+    rows.select(*RAW_COLUMNS, order.alias("_o")).orderBy("_o", "invoice_number", F.col("line_number").cast("int")).drop("_o").write.mode("overwrite").option("header", True).csv(path)

@@ -1,24 +1,25 @@
-"""A folder of CSV files as a stream: each micro-batch goes through the same cleaning and merges as a file does."""
+"""A folder of CSV files as a stream: the stream finds new files, and each goes through the same ingest as a file does."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from payloom.plans.ingest import apply_raw
-from payloom.schemas import RAW_COLUMNS
+from payloom.plans.ingest import ingest
 from payloom.sources.store import Store
 
+FOUND = "path string, modificationTime timestamp, length long, content binary"
 
-def ingest_stream(spark: SparkSession, folder: str, store: Store, checkpoint: str) -> StreamingQuery:
-    """Ingest the files that are there, one per micro-batch, then stop; a later call takes up only new ones."""
-    raw = spark.readStream.option("header", True).option("multiLine", True).option("maxFilesPerTrigger", 1).schema(", ".join(f"{c} string" for c in RAW_COLUMNS)).csv(folder)
-    named = raw.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("source_file"))
+
+def ingest_stream(spark: SparkSession, folder: str, store: Store, checkpoint: str, quarantine: str | None = None, files: int = 8) -> StreamingQuery:
+    """Ingest the files that are there, so many per micro-batch, then stop; a later call takes up only new ones.
+
+    A micro-batch is published with its ledger rows at once; one that is repeated after a failure finds its files in the ledger.
+    Only the paths are read here (the bytes of a binary file are read if its content is asked for)."""
+    found = spark.readStream.format("binaryFile").schema(FOUND).option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", files).load(folder).select("path", "modificationTime")
 
     def batch(df: DataFrame, number: int) -> None:
-        rows = df.withColumn("_at", F.monotonically_increasing_id())
-        rows = rows.withColumn("source_row", (F.row_number().over(Window.partitionBy("source_file").orderBy("_at")) + 1).cast("int")).drop("_at")
-        apply_raw(store, rows, F.current_timestamp())
+        paths = [r["path"] for r in df.orderBy("modificationTime", "path").collect()]  # at most `files`
+        ingest(store, paths, quarantine=quarantine)
 
-    return named.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return found.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
