@@ -27,7 +27,7 @@ def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda words, n: F.get(F.array(*[F.lit(w) for w in words]), n.cast("int"))
     name = F.concat_ws(" ", part(FIRST, k % 7), part(SECOND, F.floor(k / 7) % 11), part(THIRD, F.floor(k / 77) % 13), F.floor(k / STYLES).cast("string"), F.nullif(part(FORMS, k % 5), F.lit("")))
     out = read(spark, sf_dir, "customer").select(k.alias("vendor_id"), name.alias("name"))
-    return out.select("vendor_id", "name", vendor_key(F.col("name")).alias("normalized_name"), F.lit(30).alias("payment_terms_days"), F.lit(None).cast("string").alias("tax_id"), F.lit("2001-01-01").cast("timestamp").alias("created_at"))
+    return out.select("vendor_id", "name", vendor_key(F.col("name")).alias("normalized_name"), F.when(F.col("vendor_id") % 89 == 0, 400).otherwise(30).alias("payment_terms_days"), F.lit(None).cast("string").alias("tax_id"), F.lit("2001-01-01").cast("timestamp").alias("created_at"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def sql(suffixes: tuple[str, ...]) -> str:
     """Common table expressions vendors, inv_lines and invoices."""
     d = "CAST(o_orderdate AS DATE)"
     return f"""
-vendors AS (SELECT vendor_id, name, {key_sql('name', suffixes)} AS normalized_name FROM (SELECT c_custkey AS vendor_id, {_NAME} AS name FROM customer)),
+vendors AS (SELECT vendor_id, name, {key_sql('name', suffixes)} AS normalized_name, CASE WHEN vendor_id % 89 = 0 THEN 400 ELSE 30 END AS payment_terms_days FROM (SELECT c_custkey AS vendor_id, {_NAME} AS name FROM customer)),
 inv_lines AS (SELECT l_orderkey * 100 + l_linenumber AS line_id, l_orderkey AS invoice_id, CAST(l_linenumber AS INT) AS line_number, CAST(l_extendedprice AS DECIMAL(14,2)) AS line_total, CAST(l_quantity AS DECIMAL(12,3)) AS quantity
   FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1),
 line_sums AS (SELECT invoice_id, CAST(sum(line_total) AS DECIMAL(14,2)) AS lines_total FROM inv_lines WHERE invoice_id % 3 = 0 GROUP BY 1),
