@@ -1,14 +1,17 @@
 import datetime as dt
+import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from payloom.operators import clean
 from payloom.plans import cli, ingest
-from payloom.schemas import RAW_COLUMNS
+from payloom.schemas import RAW_COLUMNS, TABLES
+from payloom.sources import csv_files
 from payloom.sources.store import Store
 from payloom.streaming.incremental import ingest_stream
 
-GOOD = {"invoice_number": "INV-001", "vendor_name": "Acme Corp", "tax_id": "11-1111111", "invoice_date": "2024-03-01", "due_date": "2024-03-31", "payment_terms_days": "30", "amount": "100.00", "currency": "USD", "status": "open", "gl_code": "5010", "line_number": "1", "line_description": "Services", "quantity": "1", "unit_price": "100.00", "line_total": "100.00"}
+GOOD = {"invoice_number": "PO/731", "vendor_name": "Kestrel Freight GmbH", "tax_id": "DE-77", "invoice_date": "7-Nov-2019", "due_date": "12/05/2019", "payment_terms_days": "28", "amount": "€1,250.40", "currency": "eur", "status": "posted", "gl_code": "7200", "line_number": "3", "line_description": "Pallets", "quantity": "12", "unit_price": "104.20", "line_total": "1250.40"}
 
 
 def raw(spark, *changes):
@@ -18,25 +21,29 @@ def raw(spark, *changes):
 
 
 def test_reject_reasons(spark):
-    cases = {"missing_vendor": {"vendor_name": "Group Holdings LLC"}, "missing_invoice_number": {"invoice_number": "  "}, "unparseable_invoice_date": {"invoice_date": "garbage"}, "unparseable_amount": {"amount": "n/a"}, "zero_amount": {"amount": "0.00"}, "unrecognized_status": {"status": "ZZ"}, "due_date_before_invoice_date": {"due_date": "2024-01-01"}, "payment_terms_out_of_range": {"payment_terms_days": "999"}}
-    accepted, rejects = clean.clean_frame(raw(spark, *[c | {"line_number": str(i)} for i, c in enumerate(cases.values())], {"line_number": "99"}))
+    cases = [
+        ("missing_vendor", {"vendor_name": "Pty Ltd International"}), ("missing_invoice_number", {"invoice_number": "\t"}), ("unparseable_invoice_date", {"invoice_date": "0000-00-00"}), ("unparseable_amount", {"amount": "tbd"}), ("zero_amount", {"amount": "(0.001)"}),
+        ("unrecognized_status", {"status": "later"}), ("due_date_before_invoice_date", {"due_date": "2019-11-06"}), ("payment_terms_out_of_range", {"payment_terms_days": "366"}), ("missing_vendor", {"vendor_name": "", "amount": "tbd"}), ("unparseable_amount", {"amount": "1000000000000"}),
+    ]
+    accepted, rejects = clean.clean_frame(raw(spark, *[c | {"line_number": str(i)} for i, (_, c) in enumerate(cases)], {"line_number": "99"}, {"line_number": "98", "due_date": "unknown", "payment_terms_days": "365"}))
     got = {r["source_row"]: r["reject_reason"] for r in rejects.collect()}
-    assert [got[i + 2] for i in range(len(cases))] == list(cases) and accepted.count() == 1
-    assert rejects.where("source_row = 5").first()["amount"] == "n/a"
+    assert [got[i + 2] for i in range(len(cases))] == [reason for reason, _ in cases] and accepted.count() == 2
+    assert rejects.where("source_row = 5").first()["amount"] == "tbd"
+    assert accepted.where("line_number = 98").first()["due_date"] == dt.date(2020, 11, 6)
 
 
 def test_repeated_lines_and_headers(spark):
-    accepted, rejects = clean.clean_frame(raw(spark, {}, {}, {"line_number": "2", "gl_code": "6000"}, {"invoice_number": "INV1"}, {"invoice_number": "X", "gl_code": ""}, {"invoice_number": "X", "line_number": "2", "gl_code": "7"}))
-    assert [r["reject_reason"] for r in rejects.collect()] == [clean.REPEATED_LINE]
+    accepted, rejects = clean.clean_frame(raw(spark, {}, {"gl_code": "1"}, {"line_number": "4", "gl_code": "8100"}, {"invoice_number": "po 731"}, {"invoice_number": "Q", "gl_code": " "}, {"invoice_number": "Q", "line_number": "4", "gl_code": "9"}, {"vendor_name": "Group"}, {"vendor_name": "Group"}))
+    assert sorted((r["source_row"], r["reject_reason"]) for r in rejects.collect()) == [(3, clean.REPEATED_LINE), (8, "missing_vendor"), (9, "missing_vendor")]
     headers, lines = clean.split_invoices(accepted)
-    assert {(r["invoice_number"], r["gl_code"], r["source_row"]) for r in headers.collect()} == {("INV-001", "5010", 2), ("INV1", "5010", 5), ("X", "7", 6)}
+    assert {(r["invoice_number"], r["gl_code"], r["source_row"]) for r in headers.collect()} == {("PO/731", "7200", 2), ("po 731", "7200", 5), ("Q", "9", 6)}
     assert lines.count() == 5
 
 
 def test_missing_columns(spark):
     df = raw(spark, {}).drop("status", "due_date", "currency")
     row = clean.clean_frame(df)[0].first()
-    assert (row["status"], row["due_date"], row["currency"]) == ("open", dt.date(2024, 3, 31), "USD")
+    assert (row["status"], row["due_date"], row["currency"]) == ("open", dt.date(2019, 12, 5), "USD")
 
 
 def write_csv(path, *changes):
@@ -45,39 +52,114 @@ def write_csv(path, *changes):
     return str(path)
 
 
+def state_of(store):
+    return {(r["invoice_id"], r["invoice_number"], r["vendor_id"]) for r in store.table("invoices").collect()}
+
+
 def test_runs_are_idempotent(spark, tmp_path, capsys):
     store = Store(spark, f"file://{tmp_path}/store")
     store.migrate()
-    first = write_csv(tmp_path / "a.csv", {}, {"line_number": "2", "line_total": "x"}, {"invoice_number": "B", "vendor_name": "Globex", "payment_terms_days": "60"}, {"amount": "n/a", "invoice_number": "C"})
+    first = write_csv(tmp_path / "a.csv", {}, {"line_number": "2", "line_total": "x"}, {"invoice_number": "B", "vendor_name": "Osprey North", "payment_terms_days": "60"}, {"amount": "tbd", "invoice_number": "C"})
     done = ingest.ingest(store, [first], quarantine=f"{tmp_path}/q")[0]
     assert (done["rows_read"], done["rows_rejected"], done["inserted"], done["lines"], done["vendors"]) == (4, 1, 2, 2, 2)
     assert spark.read.option("header", True).csv(f"{tmp_path}/q/a_rejects.csv").count() == 1
     assert ingest.ingest_file(store, first)["already_present"]
     again = ingest.ingest_file(store, first, force=True)
     assert (again["inserted"], again["lines"], again["skipped"]) == (0, 0, 2)
-    second = write_csv(tmp_path / "b.csv", {"line_number": "3"}, {"invoice_number": "INV 1", "payment_terms_days": "45", "status": "paid"})
+    second = write_csv(tmp_path / "b.csv", {"line_number": "5"}, {"invoice_number": "PO 0731", "payment_terms_days": "45", "status": "paid"})
     done = ingest.ingest_file(Store(spark, store.root), second)
     assert (done["inserted"], done["lines"]) == (1, 2)
     store = Store(spark, store.root)
-    assert {(r["invoice_id"], r["invoice_number"], r["vendor_id"]) for r in store.table("invoices").collect()} == {(1, "INV-001", 1), (2, "B", 2), (3, "INV 1", 1)}
-    assert {r["name"]: r["payment_terms_days"] for r in store.table("vendors").collect()} == {"Acme Corp": 30, "Globex": 60}
-    assert store.table("ingest_runs").count() == 2
-    as_of, now = F.lit("2024-06-01").cast("date"), F.lit("2024-06-01").cast("timestamp")
+    assert state_of(store) == {(1, "PO/731", 1), (2, "B", 2), (3, "PO 0731", 1)}
+    assert {r["name"]: r["payment_terms_days"] for r in store.table("vendors").collect()} == {"Kestrel Freight GmbH": 28, "Osprey North": 60}
+    assert [r["rows_loaded"] for r in store.table("ingest_runs").orderBy("run_id").collect()] == [2, 1]
+    as_of, now = F.lit("2020-02-04").cast("date"), F.lit("2020-02-04").cast("timestamp")
     found = ingest.run_rules(store, as_of, now)
-    assert found == ingest.run_rules(store, as_of, now)
-    assert found["OVERDUE_60"] == 1 and found["OVERDUE_90"] == 0 if "OVERDUE_90" in found else found["OVERDUE_60"] >= 1
+    assert found == ingest.run_rules(store, as_of, now) and found["OVERDUE_60"] == 2 and found["DUP_EXACT"] == 1
+    later = ingest.run_rules(store, F.lit("2020-03-20").cast("date"), now)
+    assert later["OVERDUE_90"] == 2 and "OVERDUE_60" not in later and later["DUP_EXACT"] == 1
     text = ingest.report(store, as_of)
-    assert "61-90" in text and "Acme Corp" in text
+    assert "61-90" in text and "Kestrel Freight GmbH" in text
     assert cli.main(["report", "--store", store.root], spark) == 0 and "Headline" in capsys.readouterr().out
+    assert ingest.query(spark, "SELECT :x + 1 AS y", x=4) == [{"y": 5}]
+    before = {t: sorted(map(tuple, store.table(t).collect()), key=repr) for t in TABLES}
+    store.compact("invoices")
+    store.publish()
+    assert cli.main(["vacuum", "--store", store.root], spark) == 0
+    store = Store(spark, store.root)
+    assert {t: sorted(map(tuple, store.table(t).collect()), key=repr) for t in TABLES} == before and len(store.parts["invoices"]) == 1 and store.vacuum() == 0
 
 
-def test_stream_equals_batch(spark, tmp_path):
+def test_files_are_published_together(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"file://{tmp_path}/store")
+    store.migrate()
     (tmp_path / "in").mkdir()
     write_csv(tmp_path / "in" / "a.csv", {}, {"invoice_number": "B"})
+    write_csv(tmp_path / "in" / "b.csv", {"invoice_number": "B", "line_number": "9"}, {"invoice_number": "D", "payment_terms_days": "5"})
+    (tmp_path / "in" / "note.txt").write_text("not a file of lines")
+    with pytest.raises(FileNotFoundError):
+        ingest.ingest(store, [f"{tmp_path}/in", f"{tmp_path}/none.csv"])
+    step = store.step
+    failing = iter([None, RuntimeError("lost")])
+
+    def read(*a, real=ingest.read_raw):
+        if (e := next(failing)) is not None:
+            raise e
+        return real(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "read_raw", read)
+        with pytest.raises(RuntimeError):
+            ingest.ingest(store, [f"{tmp_path}/in"])
+    assert Store(spark, store.root).step == step and store.table("invoices").count() == store.table("ingest_runs").count() == 0
+    done = ingest.ingest(store, [f"{tmp_path}/in"])
+    assert [d["inserted"] for d in done] == [2, 1] and store.step == step + 1
+    assert state_of(Store(spark, store.root)) == {(1, "PO/731", 1), (2, "B", 1), (3, "D", 1)}
+    assert store.table("vendors").first()["payment_terms_days"] == 28 and store.table("invoice_lines").count() == 4
+    late = Store(spark, store.root)
+    late.stage("ingest_runs", late.table("ingest_runs").limit(0))
+    store.stage("ingest_runs", store.table("ingest_runs").limit(0))
+    store.publish()
+    with pytest.raises(RuntimeError):
+        late.publish()
+
+
+def test_file_hash_and_export(spark, tmp_path):
+    (tmp_path / "x.bin").write_bytes(bytes(range(256)) * 5000)
+    assert csv_files.file_hash(spark, f"file://{tmp_path}/x.bin") == hashlib.sha256(bytes(range(256)) * 5000).hexdigest()
+    rows = spark.createDataFrame([(1, "a,b"), (2, 'say "x"')], "i int, t string")
+    csv_files.export(rows, f"file://{tmp_path}/out")
+    assert sorted(map(tuple, spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/out").collect())) == [("1", "a,b"), ("2", 'say "x"')] or spark.read.option("header", True).csv(f"{tmp_path}/out").count() == 2
+
+
+def test_generate_verb(spark, tmp_path):
+    for name in ("one", "two"):
+        assert cli.main(["generate", "--out", f"{tmp_path}/{name}", "--count", "60", "--seed", "5"], spark) == 0
+    rows = [[tuple(r) for r in spark.read.option("header", True).csv(f"{tmp_path}/{n}").collect()] for n in ("one", "two")]
+    assert len(rows[0]) > 60 and sorted(rows[0], key=repr) == sorted(rows[1], key=repr)
+    numbers = [r[0] for r in rows[0]]
+    assert numbers != sorted(numbers)
+    store = Store(spark, f"file://{tmp_path}/store")
+    assert cli.main(["pipeline", "--store", store.root, f"{tmp_path}/one"], spark) == 0
+    assert Store(spark, store.root).table("invoices").count() > 40
+    with pytest.raises(SystemExit):
+        cli.main(["generate"], spark)
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write_csv(tmp_path / "in" / "a.csv", {}, {"invoice_number": "B"}, {"invoice_number": "C", "amount": "tbd"})
     streamed, batch = Store(spark, f"file://{tmp_path}/s"), Store(spark, f"file://{tmp_path}/b")
     for s in (streamed, batch):
         s.migrate()
-    ingest_stream(spark, f"{tmp_path}/in", streamed, f"{tmp_path}/cp").awaitTermination()
-    ingest.ingest_file(batch, f"{tmp_path}/in/a.csv")
+    run = lambda: ingest_stream(spark, f"{tmp_path}/in", streamed, f"{tmp_path}/cp", f"{tmp_path}/q").awaitTermination()
+    run()
+    assert spark.read.option("header", True).csv(f"{tmp_path}/q/a_rejects.csv").first()["reject_reason"] == "unparseable_amount"
+    write_csv(tmp_path / "in" / "b.csv", {"invoice_number": "B", "line_number": "8"}, {"invoice_number": "D"})
+    run()
+    for name in ("a", "b"):
+        ingest.ingest_file(batch, f"{tmp_path}/in/{name}.csv")
     rows = lambda s: sorted((r["invoice_id"], r["invoice_number"], r["amount"], r["source_row"]) for r in s.table("invoices").collect())
-    assert rows(streamed) == rows(batch) and len(rows(batch)) == 2
+    assert rows(streamed) == rows(batch) and len(rows(batch)) == 3
+    ledger = lambda s: sorted((r["source_file"], r["file_hash"], r["rows_read"], r["rows_loaded"], r["rows_rejected"]) for r in s.table("ingest_runs").collect())
+    assert ledger(streamed) == ledger(batch) and len(ledger(batch)) == 2
