@@ -14,8 +14,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked documents stays."""
-    return jaccard_join.one_of_each(docs)
+    """One document of each component of linked documents stays: sets of five-word shingles, linked from a Jaccard similarity of 0.8 on."""
+    return jaccard_join.one_of_each(docs, width=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
-    return bpe.encode_documents(docs)
+    """Token ids of every document that is left, and the text that they decode to, with digests of both."""
+    return bpe.encode_documents(docs, keep_ids=True)
 
 
 STAGES = [
