@@ -20,11 +20,11 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, component_id int")
 
 
-def components(docs):
+def components(docs, width=3, percent=90):
     sets = {}
     for d, t in docs:
         w = (t or "").lower().split()
-        sets[d] = {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} - {()}
+        sets[d] = {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} - {()}
     root = {d: d for d in sets}
 
     def top(x):
@@ -35,7 +35,7 @@ def components(docs):
     ids = sorted(sets)
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = top(a), top(b)
                 root[max(x, y)] = min(x, y)
     return {d: (len(sets[d]), top(d)) for d in sets}
@@ -53,18 +53,32 @@ def varied(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("size", [3000, 9])
-def test_jaccard_join(spark, size, monkeypatch):
+def joined(docs, *contract):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(docs, *contract).collect()}
+
+
+@pytest.fixture(params=[None, 9])
+def size(request, monkeypatch):
+    """Regions as they are, and so small that they are divided, divided again and dealt out."""
+    if request.param:
+        monkeypatch.setattr(jaccard_join.region_links, "__defaults__", (90, request.param, 3_000_000))
+        monkeypatch.setattr(jaccard_join, "PIVOTS", 3)
+    real, asked = jaccard_join.region_links, []
+    monkeypatch.setattr(jaccard_join, "region_links", lambda m, s, p: asked.append(p) or real(m, s, p))
+    yield request.param
+
+
+@pytest.mark.parametrize("contract", [(3, 90), (5, 80)])
+def test_jaccard_join(spark, size, contract):
     rows = [*varied(110, 2), *[r for r in ODD if r[0] is not None]]
-    monkeypatch.setattr(jaccard_join.region_links, "__defaults__", (size, 3_000_000))
-    got = jaccard_join.join(frame(spark, rows)).collect()
-    assert len(got) == len(rows) and {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(rows)
+    docs = frame(spark, rows)
+    assert jaccard_join.join(docs).count() == len(rows) and joined(docs, *contract) == components(rows, *contract)
 
 
 def test_join_region_links_connect_like_all_pairs():
     rows = varied(60, 7)
     sets = jaccard_join.shingle_sets([t for _, t in rows])
-    links, _ = jaccard_join.join_region(sets)
+    links = jaccard_join.join_region(sets)
     root = list(range(60))
 
     def top(x):
@@ -102,17 +116,64 @@ def test_join_region_connects_sets_of_different_pivots():
     rows = list(enumerate(" ".join(w) for w in (d0, d1, edited(d3, 33), d3, d4)))
     for case in [rows, *map(chains, range(8))]:
         root = {i: i for i, _ in case}
-        for x, p in jaccard_join.join_region(jaccard_join.shingle_sets([t for _, t in case]))[0]:
+        for x, p in jaccard_join.join_region(jaccard_join.shingle_sets([t for _, t in case])):
             a, b = root[x], root[p]
             root = {i: min(a, b) if r in (a, b) else r for i, r in root.items()}
         assert root == {i: c for i, (_, c) in components(case).items()}
 
 
-@pytest.mark.parametrize("size", [3000, 7])
-def test_jaccard_join_of_chains(spark, size, monkeypatch):
-    monkeypatch.setattr(jaccard_join.region_links, "__defaults__", (size, 3_000_000))
+def test_jaccard_join_of_chains(spark, size):
     rows = chains(11)
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(frame(spark, rows)).collect()} == components(rows)
+    assert joined(frame(spark, rows)) == components(rows)
+
+
+def copies_of_copies(rng, name):
+    """A small corpus of texts that were copied and edited again and again."""
+    texts = [[f"{name}w{i}" for i in range(rng.randint(12, 130))]]
+    for _ in range(rng.randint(3, 24)):
+        w = list(rng.choice(texts))
+        for _ in range(rng.randint(0, 3)):
+            at, kind = rng.randrange(len(w)), rng.randrange(3)
+            w[at : at + (kind != 1)] = [f"{name}x{rng.randrange(5)}"] * (kind != 2)
+        texts.append(w or ["z"])
+    rng.shuffle(texts)
+    return [" ".join(w) for w in texts]
+
+
+@pytest.mark.parametrize("contract", [(3, 90), (5, 80)])
+def test_jaccard_join_of_many_corpora(spark, size, contract):
+    rng, rows, want = random.Random(8), [], {}
+    for k in range(400):
+        corpus = [(len(rows) + i, t) for i, t in enumerate(copies_of_copies(rng, f"c{k}"))]
+        rows += corpus
+        want |= components(corpus, *contract)
+    assert joined(frame(spark, rows).repartition(4), *contract) == want
+
+
+def test_jaccard_join_deals_out_what_pivots_do_not_divide(spark, monkeypatch):
+    """A ball of sets that are all alike far from each other, some of them linked, with one passage in all of them."""
+    rng, shared = random.Random(4), [f"s{i}" for i in range(60)]
+    rows = [(i, " ".join([*shared, *(f"o{i}v{k}" for k in range(4))])) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(0, 60, 3)] + [(300 + i, rows[i][1].replace("s7 ", f"e{i} ")) for i in range(0, 60, 5)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(jaccard_join.region_links, "__defaults__", (90, 6, 3_000_000))
+    kinds = []
+    real = jaccard_join._deal
+    monkeypatch.setattr(jaccard_join, "_deal", lambda *a: kinds.append(1) or real(*a))
+    assert joined(frame(spark, rows), 3, 90) == components(rows) and kinds
+
+
+def test_jaccard_join_keeps_one_row_of_repeated_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    rows = [(5, " ".join(base)), (5, " ".join(other)), (5, " ".join(other)), (9, " ".join([*base, "x"])), (3, " ".join([*other, "y"])), (7, "alone it stands here"), (7, "alone it stands here"), (None, " ".join(base))]
+    docs = frame(spark, rows)
+    got = sorted(((r["doc_id"], r["component_id"]) for r in jaccard_join.join(docs).collect()), key=str)
+    assert got == sorted([(5, 3), (5, 3), (5, 3), (9, 3), (3, 3), (7, 7), (7, 7), (None, 3)], key=str)
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([rows[4], rows[5], rows[7]], key=str)
+    twice = frame(spark, [(1, "b c d"), (1, "a c d"), (1, "a c d")])
+    assert [tuple(r)[:2] for r in jaccard_join.one_of_each(twice).collect()] == [(1, "a c d")]
 
 
 def test_jaccard_keeps_one_of_each(spark):
@@ -120,7 +181,7 @@ def test_jaccard_keeps_one_of_each(spark):
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([900, 901, 902, 903, 905, None, 907], key=str)
-    assert jaccard_join.join(docs.limit(0)).count() == 0
+    assert jaccard_join.join(docs.limit(0)).count() == 0 == jaccard_join.one_of_each(docs.limit(0)).count()
 
 
 def test_elias_fano():
@@ -203,25 +264,66 @@ def test_toxicity_and_quality(spark):
     assert quality_classifier.score(odd, quality_classifier.CoTrained()).count() == 2
 
 
-def test_license_scan(spark):
-    texts = ["x\nReleased under the MIT License.", "Licensed under the Apache License, Version 2.0.\n\nmore", "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0.", "He lost his driving licence.", None, "", "Licensed under the Purple Elephant Licence 9."]
+def scanned(spark, texts, model):
     docs = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, family string")
-    got = {r["doc_id"]: (r["paragraph"], r["family"], r["confirmed"]) for r in license_scan.scan(docs, license_scan.train(docs)).collect()}
-    assert got[0] == (1, "MIT", True) and got[1] == (0, "Apache", True) and got[2][1:] == ("GPL", True) and got[3][1:] == ("CC-BY-NC", True)
-    assert 4 not in got and 5 not in got and got.get(7, (0, "unknown"))[1] == "unknown"
-    plan = license_scan.scan(docs, license_scan.train(docs))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Exchange" not in plan
-
-
-def test_license_scan_gates_no_notice_out(spark):
-    names = [x for ids, names, _ in license_scan.FAMILIES.values() for x in (*ids, *names)]
-    texts = [t for f, t in license_scan.notices() if f != "none"] + names + [t.format("Orchid 3") for t in license_scan.NOTICES]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "Er kam mit dem Zug.", "a simple example"])], "doc_id long, text string")
-    assert [r["doc_id"] for r in docs.where(~license_scan.has_cue(docs["text"])).orderBy("doc_id").collect()] == [len(texts), len(texts) + 1]
-    lost = {"Released under the GNU LGPL v3.": "LGPL", "Distributed under the terms of the GNU AGPL v3.": "AGPL", "Released under the LGPLv2.": "LGPL", "Distributed under the terms of the CC BY-SA 4.0.": "CC-BY-SA", "This project is made available under the CC0 1.0 Universal.": "CC0"}
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*lost, *license_scan.PROSE])], "doc_id long, text string")
-    got = {r["doc_id"]: r["family"] for r in license_scan.scan(docs, license_scan.train(docs.where(f"doc_id >= {len(lost)}"))).collect()}
-    assert got == dict(enumerate(lost.values()))
+    got = {}
+    for r in license_scan.scan(docs, model).orderBy("doc_id", "paragraph", "line").collect():
+        got.setdefault(r["doc_id"], []).append((r["paragraph"], r["family"], r["confirmed"]))
+    return got
+
+
+@pytest.fixture(scope="module")
+def license_model(spark):
+    return license_scan.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+#: None is a training row.
+UNSEEN = {
+    "Content is CC BY-SA 4.0.": "CC-BY-SA", "Distributed under Apache 2.0": "Apache", "Terms: BSD 3-clause": "BSD", "Terms: MIT": "MIT", "Released into CC0.": "CC0", "Everything here may be used under the GNU AGPL v3 or later.": "AGPL",
+    "Copyright (c) 2011 Jane Doe.\n\nPermission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles (the \"Software\"), to deal in the Software without\nrestriction, including without limitation the rights to use, copy,\nmodify, merge, publish, distribute, sublicense, and/or sell copies\nof the Software": "MIT",
+    "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.": "Apache",
+    "1. Redistributions of source code must retain the above copyright\nnotice, this list of conditions and the following disclaimer.": "BSD",
+    "2. Redistributions in binary form must reproduce the above\nCopyright notice, this list of conditions and the following disclaimer\nin the documentation and/or other materials provided.": "BSD",
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.": "MIT",
+    "a thought without an end\nThis work is licensed under the GNU General Public License, version 3.": "GPL", "some words before it\nLicensed under CC BY-NC 4.0.\nand others behind": "CC-BY-NC",
+    "These fonts come under the terms of the Mozilla Public License 2.0.": "MPL", "The data set is in the public domain under CC0 1.0 Universal.": "CC0", "Modified versions of this tool stay under GPLv2.": "GPL", "You can copy the pictures under Creative Commons Attribution 4.0 International License.": "CC-BY",
+}
+PLAIN = [
+    "He lost his driving licence.", "The permission slip lay on the desk.", "A warranty of two years came with the stove.", "Visitors may copy the plan of the museum.", "The apache helicopter flew low over the field.", "Er kam mit dem Zug und mit dem Bus.",
+    "The terms of the treaty were kept secret.", "She read the notice at the door twice.", "Under the bridge the water was calm.", "The general public was asked to stay at home.", "This work is hard and the pay is low.", "The version of the play that we saw was short.",
+]
+
+
+def test_license_scan(spark, license_model):
+    texts = ["x\nReleased under the MIT License.", None, "", "Licensed under the Purple Elephant Licence 9.", "Released under the MIT License. " * 20_000, "MIT\n\n\nfirst. \nLicensed under CC BY 4.0.", "one two three " * 30_000]
+    got = scanned(spark, texts, license_model)
+    assert got[0] == [(0, "MIT", True)] and 1 not in got and 2 not in got and 6 not in got and got.get(3, [(0, "unknown", False)])[0][1] == "unknown"
+    assert [x[1] for x in got[4]] == ["MIT"] and [x[:2] for x in got[5]] == [(0, "MIT"), (2, "CC-BY")]
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert license_scan.scan(empty, license_scan.train(empty)).count() == 0
+    twice = spark.createDataFrame([(1, "License: MIT")] * 2, "doc_id long, text string")
+    assert license_scan.scan(twice, license_model).count() == 2
+    plan = license_scan.scan(empty, license_model)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_license_scan_of_unseen_texts(spark, license_model):
+    trained = {t for _, t in license_scan.notices()}
+    assert not trained.intersection(UNSEEN) and not trained.intersection(PLAIN)
+    got = scanned(spark, [*UNSEEN, *PLAIN], license_model)
+    right = sum(family in {x[1] for x in got.get(i, [])} for i, family in enumerate(UNSEEN.values()))
+    false = sum(i in got for i in range(len(UNSEEN), len(UNSEEN) + len(PLAIN)))
+    assert right >= 0.9 * len(UNSEEN) and false <= 0.1 * len(PLAIN), (right, false, got)
+    both = scanned(spark, ["Dual MPL-2.0 / LGPL-2.1"], license_model)
+    assert both[0][0][1] in ("MPL", "LGPL", "unknown")
+
+
+def test_license_scan_gate_equals_scoring_everything(spark, license_model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate([*UNSEEN, *PLAIN, *license_scan.PROSE, *(t for _, t in license_scan.notices())])], "doc_id long, text string")
+    rows = [sorted(map(tuple, license_scan.scan(docs.unionByName(more), license_model, gate).collect())) for gate in (True, False)]
+    assert rows[0] == rows[1] and len(rows[0]) > 300
+    assert np.log(np.exp(license_model.weights[:-1, -1]).sum()) <= license_model.weights[-1, -1]
 
 
 def test_pipeline(spark):
