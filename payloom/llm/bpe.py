@@ -1,16 +1,17 @@
 """BPE encoding and decoding by tree concatenation.
 
 A text is cut at spaces and line feeds, which the tokenizer's normaliser and splitter never carry a token
-across. A piece up to `leaf` code points is a leaf of the tree and is encoded by the library. A longer
-unsplit piece is halved, both halves are encoded, and a window around the join is encoded anew: it starts
-`grow` tokens to either side and doubles until, on both sides, the new tokens agree with the halves' tokens on a stretch
-of `agree` tokens whose offsets are equal too. Only then is the window spliced in.
-When the window has reached both ends, it is the encoding of the whole.
+across. A piece up to `leaf` code points is encoded by the library at once (short ones are remembered). A longer
+unsplit piece is the root of a tree: it is halved down to leaves, halves are encoded, and at each join a window around it
+is encoded anew: it starts `grow` tokens to either side and doubles until, on both sides, the new tokens agree with the
+halves' tokens on a stretch of `agree` tokens whose offsets are equal too. Only then is the window spliced in. A window that has
+reached both ends is the encoding of the whole.
 
-Halves lie far from each other in one long word, so they can be encoded in parallel; the tree's leaves go
-to the library in one batch, which does so on as many threads as it is allowed.
+All trees of a batch of texts grow at once: their leaves are one call of the library, and so are the windows of a level, which
+the library encodes in parallel on as many threads as it is allowed. In prose no piece is as long; runs of letters, signs or digits without
+white space, such as encoded data, are.
 
-Null and empty texts have no tokens. Repeated rows get repeated results, extra columns are ignored.
+Null and empty texts have no tokens. Repeated rows get repeated results, extra columns are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,26 @@ class Memory(dict):
             self.clear()
 
 
+#: Asks for lists of texts, is sent their encodings, and returns its own.
+Asking = Generator[list[str], list[tuple], tuple]
+
+
+def together(askers: list[Asking]) -> Generator[list[str], list[tuple], list[tuple]]:
+    """Several askers as one: what they ask for in a round is asked for at once."""
+    results: list[tuple] = [()] * len(askers)
+    waiting = [(i, a, next(a)) for i, a in enumerate(askers)]
+    while waiting:
+        answers = iter((yield [t for *_, texts in waiting for t in texts]))
+        following = []
+        for i, a, texts in waiting:
+            try:
+                following.append((i, a, a.send([next(answers) for _ in texts])))
+            except StopIteration as done:
+                results[i] = done.value
+        waiting = following
+    return results
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -85,20 +106,29 @@ class TreeEncoder:
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known, self.words = Memory(REMEMBERED), Memory(REMEMBERED)
         self.names: dict[int, str] = {}
+        self.joins = self.rounds = 0  # of trees, and calls of the library for them
         self.decoder = self.tok.decoder
 
-    def _leaf(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
-        e = self.tok.encode(text, add_special_tokens=False)
-        return e.ids, e.offsets
-
-    def tree(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
-        """Ids and offsets of a piece without white space, however long."""
+    def trees(self, texts: list[str]) -> list[tuple[list[int], list[tuple[int, int]]]]:
+        """Ids and offsets of pieces without white space, however long. What all of them ask for next is one batch."""
+        found = together([self._tree(t) for t in texts])
+        try:
+            asked = next(found)
+            while True:
+                self.rounds += 1
+                asked = found.send([(e.ids, e.offsets) for e in self.tok.encode_batch(asked, add_special_tokens=False)])
+        except StopIteration as done:
+            return done.value
+
+    def _tree(self, text: str) -> Asking:
         if len(text) <= self.leaf:
-            return self._leaf(text)
+            return (yield [text])[0]
         mid = len(text) // 2
-        return self.join(text, mid, self.tree(text[:mid]), self.tree(text[mid:]))
+        left, right = yield from together([self._tree(text[:mid]), self._tree(text[mid:])])
+        return (yield from self._join(text, mid, left, right))
 
-    def join(self, text: str, mid: int, left: tuple, right: tuple) -> tuple[list[int], list[tuple[int, int]]]:
+    def _join(self, text: str, mid: int, left: tuple, right: tuple) -> Asking:
+        self.joins += 1
         ids_l, off_l = left
         ids_r, off_r = right[0], [(a + mid, b + mid) for a, b in right[1]]
         reach = self.grow
@@ -106,9 +136,9 @@ class TreeEncoder:
             i, j = max(0, len(ids_l) - reach), min(len(ids_r), reach)
             lo = off_l[i][0] if i else 0
             hi = off_r[j - 1][1] if j < len(ids_r) else len(text)
+            ((ids, off),) = yield [text[lo:hi]]
             if lo == 0 and hi == len(text):
-                return self._leaf(text)
-            ids, off = self._leaf(text[lo:hi])
+                return ids, off
             off = [(a + lo, b + lo) for a, b in off]
             cut_l = self._agreement(ids, off, ids_l, off_l, i, front=True) if i else 0
             cut_r = self._agreement(ids, off, ids_r, off_r, j, front=False) if j < len(ids_r) else 0
@@ -134,7 +164,8 @@ class TreeEncoder:
         short = [w for w in fresh if len(w) <= self.leaf]
         got = dict(zip(short, one(short)))
         memory.update(got)
-        got.update((w, packed(self.tree(w)[0])) for w in fresh if len(w) > self.leaf)
+        if long := [w for w in fresh if len(w) > self.leaf]:
+            got.update((w, packed(ids)) for w, (ids, _) in zip(long, self.trees(long)))
         return got
 
     def _pieces(self, short: list[str]) -> list[bytes]:

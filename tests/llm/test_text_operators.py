@@ -130,13 +130,40 @@ def test_bpe_equals_library(leaf, grow, agree):
 
 def test_bpe_long_pieces_and_rows(spark):
     enc = bpe.TreeEncoder(bpe.default_path())
-    for text in ("x" * 50_000, "theandof" * 9000, "1" * 9000):
-        assert np.frombuffer(enc.encode(text), "<u4").tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+    rng = random.Random(9)
+    long = ["x" * 50_000, "theandof" * 9000, "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCD") for _ in range(70_000)), "中文字漢" * 3000, "é̈ñ🙂" * 2000]
+    for text in long:
+        joins = enc.joins
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == enc.tok.encode(text, add_special_tokens=False).ids and enc.joins > joins
+    ones = "1" * 9000  # single digits are split
+    assert np.frombuffer(enc.encode(ones), "<u4").tolist() == enc.tok.encode(ones, add_special_tokens=False).ids
     out = bpe.encode_documents(frame(spark, EDGES), keep_ids=True).collect()
     assert len(out) == len(EDGES) and next(r for r in out if r["doc_id"] == 1)["n_tokens"] == 0
     assert bpe.encode_documents(frame(spark, [])).count() == 0
 
 
+def test_bpe_trees_grow_together():
+    """Leaves of all pieces are one call of the library, and the windows of a level are one each."""
+    enc = bpe.TreeEncoder(bpe.default_path(), leaf=256)
+    rng = random.Random(3)
+    pieces = ["".join(rng.choice("abcdefghijkl") for _ in range(4096)) for _ in range(8)]
+    got = enc.trees(pieces)
+    assert [ids for ids, _ in got] == [enc.tok.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert enc.joins == 8 * 15 and enc.rounds <= 12  # four levels, few windows asked for twice
+
+
+def test_bpe_rows_with_planted_pieces(spark):
+    """The query's operator over texts with long pieces in prose, against the library."""
+    rng = random.Random(5)
+    enc = bpe.TreeEncoder(bpe.default_path())
+    rows = [(i, " ".join(["some words", "".join(rng.choice("ABCabcdefgh") for _ in range(rng.randint(2000, 9000))), "and more\n"] * rng.randint(1, 3))) for i in range(40)]
+    got = {r["doc_id"]: r for r in bpe.encode_documents(frame(spark, rows)).collect()}
+    for i, text in rows:
+        ids = enc.tok.encode(text, add_special_tokens=False).ids
+        assert (got[i]["n_tokens"], got[i]["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert got[i]["decoded_sha256"] == hashlib.sha256(enc.tok.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_best_match_equals_dynamic_programme():
     rng = random.Random(4)
     for _ in range(300):
