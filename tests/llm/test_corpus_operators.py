@@ -195,27 +195,72 @@ def test_elias_fano():
         assert ef.find(probe).tolist() == [place.get(int(x), -1) for x in probe]
 
 
-def test_lm_scores_equal_brute_force(spark):
-    rng = random.Random(3)
-    rows = [(i, " ".join(rng.choice("the a of Bb cc dd ee é".split()) for _ in range(rng.randint(0, 40)))) for i in range(120)] + [(500, None), (501, ""), (502, " \n"), (7, "the the")]
-    tokens = [[*(t or "").encode().lower().split(), None] for _, t in rows]
-    train = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
-    c, pairs, contexts = Counter(), Counter(), Counter()
-    for ws, t in zip(tokens, train):
-        if t:
-            c.update(ws)
-            pairs.update(zip([0, *ws], ws))
-            contexts.update([0, *ws[:-1]])
+def brute_lm(rows, coded, discount=language_model.DISCOUNT):
+    """(id, tokens, known, train tokens, base, score) by counting in one place; coded: what f and b become by quantising."""
+    texts = [[0, *(t or "").encode().lower().split(), None] for _, t in rows]
+    c, pairs, triples = Counter(), Counter(), Counter()
+    for (i, _), ws in zip(rows, texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            c.update(ws[1:])
+            pairs.update(zip(ws, ws[1:]))
+            triples.update(zip(ws, ws[1:], ws[2:]))
     n, v = sum(c.values()), len(c)
+    context = Counter()
+    follow = Counter()
+    for seen in (pairs, triples):
+        for g, k in seen.items():
+            context[g[:-1]] += k
+            follow[g[:-1]] += 1
+
+    def step(seen, g, lower):
+        if not context[g[:-1]]:
+            return lower
+        f = coded((seen[g] - discount) / context[g[:-1]]) if seen[g] else 0.0
+        return f + coded(discount * follow[g[:-1]] / context[g[:-1]]) * lower
+
+    out = []
+    for (i, _), ws in zip(rows, texts):
+        base = [(c[w] + 1) / (n + v + 1) for w in ws[1:]]
+        p = [step(pairs, g, u) for g, u in zip(zip(ws, ws[1:]), base)]
+        p[1:] = [step(triples, g, u) for g, u in zip(zip(ws, ws[1:], ws[2:]), p[1:])]
+        out.append((i, len(ws) - 1, sum(c[w] > 0 for w in ws[1:]), n, round(sum(map(math.log10, base)), 6), round(sum(map(math.log10, p)), 6)))
+    return out
+
+
+def test_lm_scores_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("the a of Bb cc dd ee é".split()) for _ in range(rng.randint(0, 40)))) for i in range(120)] + [(500, None), (501, ""), (502, " \n"), (7, "the the"), (7, "the the"), (None, "a b"), (503, "unheard words " * 20_000)]
     coded = lambda x: float(language_model.CODEBOOK[language_model.quantise(np.array([x]))[0]])
-    want = []
-    for (i, _), ws in zip(rows, tokens):
-        p = [(c[w] + 1) / (n + v + 1) for w in ws]
-        q = [(coded(pairs[h, w]) + language_model.MU * u) / (contexts[h] + language_model.MU) for h, w, u in zip([0, *ws], ws, p)]
-        want.append((i, len(ws), sum(c[w] > 0 for w in ws), n, round(sum(map(math.log10, p)), 6), round(sum(map(math.log10, q)), 6)))
-    got = language_model.score(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=700).collect()
-    assert sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got) == sorted(want)
-    assert language_model.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    plain = lambda got: [(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, score int, chunk string")
+    want = brute_lm([("" if i is None else i, t) for i, t in rows], coded)
+    want = [(None if w[0] == "" else w[0], *w[1:]) for w in want]
+    # words that are spread over shards know f and b by parts of their counts, and each part is quantised by itself
+    for hot, near, size in ((1.0, 2e-6, 20_000), (0.004, 0.02, 700)):
+        monkeypatch.setattr(language_model, "HOT", hot)
+        got = plain(language_model.score(docs.repartition(3), chunk_bytes=size).collect())
+        assert len(got) == len(want)
+        for g, w in zip(sorted(got, key=repr), sorted(want, key=repr)):
+            assert g[:5] == w[:5] and abs(g[5] - w[5]) <= max(near, near * abs(w[5])), (hot, g, w)
+    assert language_model.score(docs.limit(0)).count() == 0
+
+
+def test_lm_level_search_is_bounded_by_pointers():
+    rng = np.random.default_rng(4)
+    owner = np.sort(rng.integers(0, 50, 400))
+    pairs = np.unique(owner.astype(np.uint64) << np.uint64(32) | rng.integers(0, 40, 400).astype(np.uint64))
+    owner, keys = (pairs >> np.uint64(32)).astype(np.int64), pairs & language_model.LOW32
+    level = language_model.Level(owner, keys, 52, language_model.Arena())
+    place = {(int(o), int(k)): i for i, (o, k) in enumerate(zip(owner, keys))}
+    asked = [(o, k) for o in range(-1, 52) for k in range(60)]
+    got = level.find(np.array([o for o, _ in asked]), np.array([k for _, k in asked], np.uint64))
+    assert got.tolist() == [place.get(x, -1) for x in asked]
+
+
+def test_lm_beats_the_base_on_held_out_texts(spark):
+    rows = language_model.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").collect()
+    per = lambda c: sum(r[c] for r in rows) / sum(r["n_tokens"] for r in rows)
+    assert per("score") > per("base_score") + 0.2, (per("score"), per("base_score"))
 
 
 def test_models():
