@@ -1,39 +1,46 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-The model is a word bigram with Dirichlet smoothing, p(w | h) = (c(hw) + MU p(w)) / (c(h) + MU), over the add-one unigram p(w) = (c(w) + 1) / (N + V + 1); both sum to one with one
-unknown word. Counts are over all training documents (crc32 of doc_id modulo 7 isn't 2), without pruning or caps.
+The model is an interpolated trigram with absolute discounting over the add-one unigram p(w) = (c(w) + 1) / (N + V + 1):
+p(w | v) = f(w | v) + b(v) p(w) with f = (c(vw) - D) / c(v) and b(v) = D times the distinct successors of v / c(v), and p(w | uv) = f(w | uv) + b(uv) p(w | v) likewise. What wasn't seen has
+f = 0, and a context that wasn't seen b = 1, so each level sums to one with one unknown word. Counts are over all training documents (crc32 of doc_id modulo 7 isn't 2), without pruning or
+caps. D = 0.75 is the usual discount of one-count n-grams; it isn't fitted.
 
 Neither the model nor the counts ever sit in one place:
 
-1. Documents are dealt into chunks of about CHUNK bytes. A chunk asks for its distinct bigrams, grouped by context, with its own training counts.
-2. Requests go to the context's shard. A shard adds up the counts and builds its part of the trie: level 1 holds the contexts, level 2 the successors of each. Both are
-   monotone sequences in Elias-Fano code, as are the pointers from level 1 into level 2; counts of level 2 are quantised to one byte. The levels lie in a memory-mapped
-   temporary file. A bigram is found by successor search relative to its context's range.
-3. The chunk gets its answers, one byte per bigram and a count per context, and scores its documents whole. A word's own count is its count as a context, for every word is followed by one or by the end.
-
-Contexts that make up more than HOT of a batch's words are dealt over several shards by successor, so no shard grows with one word. What moves grows with the
-distinct bigrams of chunks. Successors are told apart by 32 bits within their context. Null texts are empty: one token, the end. Repeated rows each count and
-get a row; extra columns are ignored.
+1. Documents are packed into chunks. A chunk asks for its distinct n-grams, nested by first word, second and third, with its own training counts.
+2. Requests go to the shard of the first word. A shard adds up the counts and builds its part of the trie: level 1 holds words with exact counts, levels 2 and 3 the successors of each
+   node of the level above. A level is one monotone sequence in Elias-Fano code: a node's successors, as 32-bit keys, go on from the last value of the node before; pointers, a monotone
+   sequence, too, say where a node's range begins and ends. f and b are quantised to one byte. The levels lie in a memory-mapped temporary file that lives
+   as long as the task. An n-gram is found by successor search relative to its context: the value that the key has behind the range before, within the range.
+3. The chunk gets its answers, a byte or two per n-gram and a count per word, and scores its documents whole. A word's own count is its count as a context, for every word is followed by
+   one or by the end.
+
+Chunks and shards are about as large as each other and grow with the root of the input, so that the messages between them, at least MESSAGE bytes of text each, grow
+in proportion to it. Words that make up more than HOT of a chunk's are dealt over several shards by successor, so no shard grows with one word.
+Successors are told apart by 32 bits within their context. Null texts are empty: one token, the end. Repeated rows each count and get a row; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import tempfile
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payloom.llm.common import keys_of, materialize, mix64, read_table, remainder
 
-MU = 300.0
-CHUNK = 6_000_000
+DISCOUNT = 0.75
+#: Bytes of text in a chunk at least, and for each message between a chunk and a shard.
+CHUNK, MESSAGE = 4_000_000, 4096
 HOT = 0.004
 BEGIN, END = 1, 2  # keys of the marks; words' keys have more bits
+LOW32 = np.uint64(0xFFFFFFFF)
 
 
 #: Ones in a byte, and the place of its k-th one.
@@ -134,191 +141,295 @@ class Arena:
         return np.memmap(self.file, array.dtype, "r", start, (len(array),)) if len(array) else array
 
 
-def quantise(count: np.ndarray) -> np.ndarray:
-    """Counts up to 127 as they are, larger ones to the nearest of 128 steps of a tenth of an octave and more."""
-    c = np.maximum(count, 1)
-    steps = 127 + np.round((np.log2(c) - np.log2(127)) * 5).astype(np.int64)
-    return np.where(count <= 127, count, np.clip(steps, 128, 255)).astype(np.uint8)
+#: Steps of an eighth of an octave below one; the last code is for what isn't there.
+STEP, ABSENT = 8, 255
+
+
+def quantise(p: np.ndarray) -> np.ndarray:
+    return np.clip(np.round(-STEP * np.log2(np.maximum(p, 1e-30))), 0, ABSENT - 1).astype(np.uint8)
+
 
+#: The probability of each code.
+CODEBOOK = np.r_[2.0 ** (-np.arange(ABSENT) / STEP), 0.0]
 
-CODEBOOK = np.r_[np.arange(128.0), 127 * 2 ** (np.arange(1, 129) / 5)]
+
+class Level:
+    """The successors of all nodes of the level above."""
+
+    def __init__(self, owner: np.ndarray, keys: np.ndarray, parents: int, arena: Arena):
+        """For each successor, in order, the rank of its parent and its 32-bit key."""
+        fan = np.bincount(owner, minlength=parents)
+        ends = np.cumsum(fan)
+        steps = np.zeros(parents, np.uint64)
+        steps[fan > 0] = keys[ends[fan > 0] - 1] + np.uint64(1)
+        base = np.cumsum(steps, dtype=np.uint64) - steps
+        self.pointers = EliasFano(np.r_[0, ends], arena)
+        self.values = EliasFano(base[owner] + keys, arena)
+
+    def find(self, parent: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Rank of each key below its parent (a rank, or -1 for none), or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        known = np.flatnonzero(parent >= 0)
+        if not self.values.n or not len(known):
+            return out
+        # keys that follow each other mostly have one parent
+        heads = np.flatnonzero(np.r_[True, np.diff(parent[known]) != 0])
+        size = np.diff(np.r_[heads, len(known)])
+        begin, end = (self.pointers.access(parent[known][heads] + k).astype(np.int64) for k in (0, 1))
+        before = np.where(begin > 0, self.values.access(np.maximum(begin - 1, 0)) + np.uint64(1), np.uint64(0))
+        found = self.values.find(np.repeat(before, size) + keys[known])
+        out[known] = np.where((found >= np.repeat(begin, size)) & (found < np.repeat(end, size)), found, -1)
+        return out
 
 
 class Trie:
-    """Contexts with exact counts, and their successors with quantised ones."""
+    """Words with exact counts, their successors and those of these, with quantised f, and b of what has successors."""
 
-    def __init__(self, contexts: np.ndarray, counts: np.ndarray, owner: np.ndarray, successors: np.ndarray, n: np.ndarray):
-        """Sorted context keys and their counts; for each successor, in order, its context's rank, its 32-bit key and its count."""
+    def __init__(self, words: np.ndarray, pairs: np.ndarray, n2: np.ndarray, triples: np.ndarray, n3: np.ndarray, discount: float = DISCOUNT):
+        """Sorted keys; pairs: place of the word and key of its successor; triples: place of the pair and key of its successor; training counts."""
         arena = Arena()
-        self.level1 = EliasFano(contexts >> np.uint64(1), arena)
-        self.counts = arena.put(counts.astype(np.int64))
-        self.pointers = EliasFano(np.searchsorted(owner, np.arange(len(contexts) + 1)), arena)
-        self.level2 = EliasFano(owner.astype(np.uint64) << np.uint64(32) | successors, arena)
-        self.codes = arena.put(quantise(n))
-
-    def lookup(self, contexts: np.ndarray, fanout: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of contexts and codes of their successors; fanout says how many successors each context asks for."""
-        rank = self.level1.find(contexts >> np.uint64(1))
-        count = np.where(rank >= 0, self.counts[np.maximum(rank, 0)] if len(self.counts) else 0, 0)
-        base = np.repeat(rank, fanout)
-        known = np.flatnonzero(base >= 0)
-        at = self.level2.find(base[known].astype(np.uint64) << np.uint64(32) | successors[known])
-        codes = np.zeros(len(successors), np.uint8)
-        if len(rank) and (rank >= 0).any():
-            first = np.zeros(len(rank), np.int64)
-            ok = rank >= 0
-            first[ok] = self.pointers.access(rank[ok]).astype(np.int64)
-            hit = at >= np.repeat(first, fanout)[known]
-            codes[known[hit]] = self.codes[at[hit]]
-        return count, codes
+        owner2, owner3 = ((x >> np.uint64(32)).astype(np.int64) for x in (pairs, triples))
+        c1, c2 = np.bincount(owner2, n2, len(words)), np.bincount(owner3, n3, len(pairs))
+        seen1, seen2, seen3 = c1 > 0, n2 > 0, n3 > 0
+        rank1, rank2 = np.cumsum(seen1) - 1, np.cumsum(seen2) - 1
+        back = lambda owner, seen, c: np.where(c > 0, quantise(discount * np.bincount(owner[seen], minlength=len(c)) / np.maximum(c, 1)), ABSENT).astype(np.uint8)
+        self.level1 = EliasFano(words[seen1] >> np.uint64(1), arena)
+        self.counts, self.back1 = arena.put(c1[seen1].astype(np.int64)), arena.put(back(owner2, seen2, c1)[seen1])
+        self.level2 = Level(rank1[owner2[seen2]], pairs[seen2] & LOW32, int(seen1.sum()), arena)
+        self.f2, self.back2 = arena.put(quantise((n2 - discount)[seen2] / c1[owner2[seen2]])), arena.put(back(owner3, seen3, c2)[seen2])
+        self.level3 = Level(rank2[owner3[seen3]], triples[seen3] & LOW32, int(seen2.sum()), arena)
+        self.f3 = arena.put(quantise((n3 - discount)[seen3] / c2[owner3[seen3]]))
 
+    def lookup(self, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Counts and b of words, f and b of pairs, f of triples; what isn't there has count 0 and ABSENT."""
+        at = lambda array, i, none: np.where(i >= 0, array[np.maximum(i, 0)], none).astype(array.dtype) if len(array) else np.full(len(i), none, array.dtype)
+        r1 = self.level1.find(words >> np.uint64(1))
+        r2 = self.level2.find(r1[(pairs >> np.uint64(32)).astype(np.int64)], pairs & LOW32)
+        r3 = self.level3.find(r2[(triples >> np.uint64(32)).astype(np.int64)], triples & LOW32)
+        return at(self.counts, r1, 0), at(self.back1, r1, ABSENT), at(self.f2, r2, ABSENT), at(self.back2, r2, ABSENT), at(self.f3, r3, ABSENT)
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one blob; lengths in front. Counts and codes are deflated, keys (64 bits, or 32 in big-endian order) wouldn't shrink."""
-    parts = [zlib.compress(a.tobytes(), 1) if a.dtype in (np.uint32, np.uint8) else a.tobytes() for a in arrays]
-    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
+
+def narrow(x: np.ndarray) -> list[np.ndarray]:
+    """Small numbers as bytes, with places and values of those that aren't."""
+    large = np.flatnonzero(x >= 255)
+    return [np.minimum(x, 255).astype(np.uint8), large.astype(np.uint32), x[large].astype(np.uint32)]
+
+
+NARROW = (np.uint8, np.uint32, np.uint32)
+
+
+def widen(small: np.ndarray, place: np.ndarray, value: np.ndarray) -> np.ndarray:
+    out = small.astype(np.int64)
+    out[place] = value
+    return out
 
 
-KEY32 = np.dtype(">u4")
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one blob; lengths in front."""
+    parts = [a.tobytes() for a in arrays]
+    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
 
 
 def unpack(blob: bytes, *types) -> list[np.ndarray]:
     lengths = np.frombuffer(blob, np.int64, len(types))
     ends = 8 * len(types) + np.cumsum(lengths)
-    parts = [blob[e - n : e] for e, n in zip(ends, lengths)]
-    return [np.frombuffer(zlib.decompress(p) if t in (np.uint32, np.uint8) else p, t) for p, t in zip(parts, types)]
+    return [np.frombuffer(blob[e - n : e], t) for e, n, t in zip(ends, lengths, types)]
 
 
-def bigrams(texts: list[str | None], train: np.ndarray) -> dict[str, np.ndarray]:
-    """Distinct bigrams of a chunk, by context and successor, and each token's place in them."""
-    rows = [np.r_[np.uint64(BEGIN), keys_of((t or "").encode("utf-8", "surrogatepass").lower().split()), np.uint64(END)] for t in texts]
-    lengths = np.array([len(r) - 1 for r in rows], np.int64)
-    h, w = np.concatenate([r[:-1] for r in rows]), np.concatenate([r[1:] for r in rows])
-    doc = np.repeat(np.arange(len(rows)), lengths)
-    contexts, context = np.unique(h, return_inverse=True)  # a word is the next bigram's context, and the end nobody's
-    pairs, place = np.unique(context.astype(np.uint64) << np.uint64(32) | w >> np.uint64(32) ^ w & np.uint64(0xFFFFFFFF), return_inverse=True)
-    counts = np.bincount(place, train[doc].astype(float), len(pairs)).astype(np.uint32)
-    return {"lengths": lengths, "doc": doc, "contexts": contexts, "context": context, "word": np.r_[context[1:], 0], "place": place, "owner": (pairs >> np.uint64(32)).astype(np.int64), "successors": (pairs & np.uint64(0xFFFFFFFF)).astype("<u4"), "counts": counts}
+REQUEST = (np.uint64, *NARROW, np.uint32, *NARROW, *NARROW, np.uint32, *NARROW)
+ANSWER = (np.uint32, np.uint8, np.uint8, np.uint8, np.uint8)
 
 
-def routes(b: dict[str, np.ndarray], hot: dict[int, int], shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(shard, entries, fanout, bigrams): contexts, by their place in b, how many bigrams of each go there, and these by place. A hot context has an entry in all its shards."""
-    keys = b["contexts"]
+def tokens(text: str | None) -> np.ndarray:
+    return keys_of((text or "").encode("utf-8", "surrogatepass").lower().split())
+
+
+def ngrams(texts: list[str | None], train: np.ndarray) -> dict[str, np.ndarray]:
+    """Distinct words, pairs and triples of a chunk, nested, and each token's place in them."""
+    rows = [np.r_[np.uint64(BEGIN), tokens(t), np.uint64(END)] for t in texts]
+    lengths = np.array([len(r) - 1 for r in rows], np.int64)
+    flat = np.concatenate(rows)
+    last = np.zeros(len(flat), bool)
+    last[np.cumsum(lengths + 1) - 1] = True
+    doc = np.repeat(np.arange(len(rows)), lengths)
+    w = flat[1:][~last[:-1]]
+    key = w >> np.uint64(32) ^ w & LOW32
+    words, word = np.unique(flat[~last], return_inverse=True)  # a word is the next pair's first, and the end nobody's
+    pairs, pair = np.unique(word.astype(np.uint64) << np.uint64(32) | key, return_inverse=True)
+    second = np.flatnonzero(doc[1:] == doc[:-1]) + 1  # tokens behind another one of their text
+    triples, triple = np.unique(pair[second - 1].astype(np.uint64) << np.uint64(32) | key[second], return_inverse=True)
+    learned = train[doc]
+    return {
+        "lengths": lengths, "doc": doc, "words": words, "word": word, "pair": pair, "second": second, "triple": triple,
+        "owner2": (pairs >> np.uint64(32)).astype(np.int64), "key2": (pairs & LOW32).astype(np.uint32), "n2": np.bincount(pair[learned], minlength=len(pairs)),
+        "owner3": (triples >> np.uint64(32)).astype(np.int64), "key3": (triples & LOW32).astype(np.uint32), "n3": np.bincount(triple[learned[second]], minlength=len(triples)),
+    }
+
+
+def routes(b: dict[str, np.ndarray], hot: dict[int, int], shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(shard, words, fan, pairs, triples): places in b of what goes to each shard, and how many of the pairs belong to each word. A hot word goes to all its shards, its pairs to one each."""
+    keys = b["words"]
     spread = np.ones(len(keys), np.int64)
     for key, n in hot.items():
         at = np.searchsorted(keys, np.uint64(key))
         if at < len(keys) and keys[at] == key:
             spread[at] = min(shards, n)
-    first = (mix64(keys) % np.uint64(shards)).astype(np.int64)
+    start = np.cumsum(spread) - spread
     entry = np.repeat(np.arange(len(keys)), spread)
-    step = np.arange(len(entry)) - np.repeat(np.r_[0, np.cumsum(spread)[:-1]], spread)
-    entry_shard = (first[entry] + step) % shards
-    bigram_shard = (first[b["owner"]] + (mix64(b["successors"].astype(np.uint64)) % spread[b["owner"]].astype(np.uint64)).astype(np.int64)) % shards
+    entry_shard = ((mix64(keys) % np.uint64(shards)).astype(np.int64)[entry] + np.arange(len(entry)) - start[entry]) % shards
+    entry_of_pair = start[b["owner2"]] + (mix64(b["key2"].astype(np.uint64)) % spread[b["owner2"]].astype(np.uint64)).astype(np.int64)
+    fan = np.bincount(entry_of_pair, minlength=len(entry))
     small = np.uint16 if shards < 1 << 16 else np.int64  # 16 bits are sorted by radix
-    order_e, order_b = np.argsort(entry_shard.astype(small), kind="stable"), np.argsort(bigram_shard.astype(small), kind="stable")
-    cut_e, cut_b = (np.r_[0, np.cumsum(np.bincount(x, minlength=shards))] for x in (entry_shard, bigram_shard))
+    pair_shard = entry_shard[entry_of_pair].astype(small)
+    triple_shard = pair_shard[b["owner3"]]
+    (e, cut_e), (p, cut_p), (t, cut_t) = ((np.argsort(x, kind="stable"), np.r_[0, np.cumsum(np.bincount(x, minlength=shards))]) for x in (entry_shard.astype(small), pair_shard, triple_shard))
     for s in range(shards):
-        entries, places = order_e[cut_e[s] : cut_e[s + 1]], order_b[cut_b[s] : cut_b[s + 1]]
+        entries = e[cut_e[s] : cut_e[s + 1]]
         if len(entries):
-            own = entry[entries]
-            yield s, own, np.bincount(b["owner"][places], minlength=len(keys))[own] if len(places) > len(keys) else np.diff(np.r_[np.searchsorted(b["owner"][places], own), len(places)]), places
-
-
-def build_and_answer(rows: list[tuple[int, bytes]]) -> tuple[list[tuple[int, bytes]], np.ndarray, np.ndarray]:
-    """One shard: answers to (chunk, request) rows, and its contexts with their training counts."""
-    asked = [unpack(blob, np.uint64, np.uint32, KEY32, np.uint32) for _, blob in rows]
-    keys = np.unique(np.concatenate([a[0] for a in asked]))
-    owner = np.concatenate([np.repeat(np.searchsorted(keys, a[0]), a[1]) for a in asked]).astype(np.uint64)
-    pairs = owner << np.uint64(32) | np.concatenate([a[2] for a in asked]).astype(np.uint64)
-    n = np.concatenate([a[3] for a in asked])
-    seen = n > 0
-    pairs, place = np.unique(pairs[seen], return_inverse=True)
-    n = np.bincount(place, n[seen], len(pairs)).astype(np.int64)
-    owner = (pairs >> np.uint64(32)).astype(np.int64)
-    totals = np.bincount(owner, n, len(keys)).astype(np.int64)
-    trie = Trie(keys, totals, owner, pairs & np.uint64(0xFFFFFFFF), n)
-    out = []
-    for (chunk, _), (contexts, fanout, successors, _) in zip(rows, asked):
-        count, codes = trie.lookup(contexts, fanout, successors.astype(np.uint64))
-        out.append((chunk, pack(count.astype(np.uint32), codes)))
-    return out, keys, totals
-
-
-def score_chunk(b: dict[str, np.ndarray], answers: dict[int, bytes], hot: dict[int, int], shards: int, n: int, v: int, mu: float = MU) -> dict[str, np.ndarray]:
-    context_count = np.zeros(len(b["contexts"]))
-    codes = np.zeros(len(b["owner"]), np.uint8)
-    for s, own, _, places in routes(b, hot, shards):
-        count, code = unpack(answers[s], np.uint32, np.uint8)
-        np.add.at(context_count, own, count)
-        codes[places] = code
-    begin = context_count[np.searchsorted(b["contexts"], BEGIN)]
+            yield s, entry[entries], fan[entries], p[cut_p[s] : cut_p[s + 1]], t[cut_t[s] : cut_t[s + 1]]
+
+
+def requests(b: dict[str, np.ndarray], hot: dict[int, int], shards: int) -> Iterator[tuple[int, bytes]]:
+    fan2 = np.bincount(b["owner3"], minlength=len(b["owner2"]))
+    for s, words, fan, pairs, triples in routes(b, hot, shards):
+        yield s, pack(b["words"][words], *narrow(fan), b["key2"][pairs], *narrow(b["n2"][pairs]), *narrow(fan2[pairs]), b["key3"][triples], *narrow(b["n3"][triples]))
+
+
+def build_and_answer(blobs: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """One shard: answers to requests, and its words with their training counts."""
+    asked = [unpack(blob, *REQUEST) for blob in blobs]
+    join = lambda k: np.concatenate([a[k] for a in asked])
+    wide = lambda k: np.concatenate([widen(*a[k : k + 3]) for a in asked])
+    words, word = np.unique(join(0), return_inverse=True)
+    pairs, pair = np.unique(np.repeat(word, wide(1)).astype(np.uint64) << np.uint64(32) | join(4), return_inverse=True)
+    triples, triple = np.unique(np.repeat(pair, wide(8)).astype(np.uint64) << np.uint64(32) | join(11), return_inverse=True)
+    n2, n3 = np.bincount(pair, wide(5), len(pairs)), np.bincount(triple, wide(12), len(triples))
+    found = Trie(words, pairs, n2, triples, n3).lookup(words, pairs, triples)
+    count, back1 = (x[word] for x in found[:2])
+    f2, back2 = (x[pair] for x in found[2:4])
+    f3 = found[4][triple]
+    cuts = [np.r_[0, np.cumsum([len(a[k]) for a in asked])] for k in (0, 4, 11)]
+    part = lambda x, k, i: x[cuts[k][i] : cuts[k][i + 1]]
+    answers = [pack(part(count, 0, i).astype(np.uint32), part(back1, 0, i), part(f2, 1, i), part(back2, 1, i), part(f3, 2, i)) for i in range(len(blobs))]
+    return answers, words, found[0]
+
+
+def score_chunk(b: dict[str, np.ndarray], answers: dict[int, bytes], hot: dict[int, int], shards: int, n: int, v: int) -> dict[str, np.ndarray]:
+    count, back1 = np.zeros(len(b["words"])), np.zeros(len(b["words"]))
+    f2, back2, f3 = np.zeros(len(b["owner2"])), np.ones(len(b["owner2"])), np.zeros(len(b["owner3"]))
+    for s, words, fan, pairs, triples in routes(b, hot, shards):
+        c, b1, p2, b2, p3 = unpack(answers[s], *ANSWER)
+        # the shards of a hot word know f and b by their own parts of its count
+        count[words] += c
+        back1[words] += c * CODEBOOK[b1]
+        f2[pairs] = CODEBOOK[p2] * np.repeat(c, fan)
+        back2[pairs] = np.where(b2 == ABSENT, 1.0, CODEBOOK[b2])
+        f3[triples] = CODEBOOK[p3]
+    seen = np.maximum(count, 1)
+    back1, f2 = np.where(count > 0, back1 / seen, 1.0), f2 / seen[b["owner2"]]
+    begin = count[np.searchsorted(b["words"], BEGIN)]
     # the end occurs as often as the beginning
     is_end = np.zeros(len(b["doc"]), bool)
     is_end[np.cumsum(b["lengths"]) - 1] = True
-    c_w = np.where(is_end, begin, context_count[b["word"]])
-    c_h = context_count[b["context"]]
+    c_w = np.where(is_end, begin, count[np.r_[b["word"][1:], 0]])
     unigram = (c_w + 1) / (n + v + 1)
-    p = (CODEBOOK[codes[b["place"]]] + mu * unigram) / (c_h + mu)
-    docs = len(b["lengths"])
-    add = lambda x: np.bincount(b["doc"], x, docs)
+    p = f2[b["pair"]] + back1[b["word"]] * unigram
+    second = b["second"]
+    p[second] = f3[b["triple"]] + back2[b["pair"][second - 1]] * p[second]
+    add = lambda x: np.bincount(b["doc"], x, len(b["lengths"]))
     return {"n_tokens": b["lengths"], "n_known": add(c_w > 0).astype(np.int64), "base_score": add(np.log10(unigram)), "score": add(np.log10(p))}
 
 
-def hot_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, n): words above HOT of a batch, and under key 0 all words and under key -1 all bytes."""
-    for batch in batches:
-        data = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(0).to_pylist()]
-        keys = np.concatenate([keys_of(d.lower().split()) for d in data] or [np.zeros(0, np.uint64)])
-        found, n = np.unique(keys, return_counts=True)
-        top = n > max(20, HOT * len(keys))
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[found[top].view(np.int64), 0, -1]), pa.array(np.r_[n[top], len(keys), sum(map(len, data))])], names=["key", "n"])
+def to_blob(batch: pa.RecordBatch | pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
+        out.write(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def from_blob(blob: bytes) -> tuple[list[int | None], np.ndarray, list[str]]:
+    """Ids, which are held out, and texts of a chunk."""
+    table = pa.ipc.open_stream(blob).read_all()
+    return table.column(0).to_pylist(), table.column(1).to_numpy(zero_copy_only=False).astype(bool), table.column(2).to_pylist()
+
+
+def packed(chunk_bytes: int):
+    """Chunks of documents as one row each, with the words above HOT of each, and under key 0 all words."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, held, size = 0, [], 0
+
+        def chunk() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            keys = np.concatenate([tokens(t) for t in table.column(2).to_pylist()])
+            found, n = np.unique(keys, return_inverse=False, return_counts=True)
+            top = n > max(20, HOT * len(keys))
+            name = TaskContext.get().partitionId() << 24 | made
+            columns = [pa.array([name], pa.int64()), pa.array([to_blob(table.combine_chunks())]), pa.array([np.r_[found[top].view(np.int64), 0].tolist()], pa.list_(pa.int64())), pa.array([np.r_[n[top], len(keys)].tolist()], pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "docs", "often", "times"])
+
+        for batch in batches:
+            # batches are small, but for very long texts: a chunk is full when it has its bytes
+            for i in range(0, batch.num_rows, 50):
+                part = batch.slice(i, 50)
+                held.append(part)
+                size += sum(map(len, part.column(2).to_pylist()))
+                if size >= chunk_bytes:
+                    yield chunk()
+                    made, held, size = made + 1, [], 0
+        if held:
+            yield chunk()
+
+    return step
 
 
-def score(docs: DataFrame, mu: float = MU, chunk_bytes: int = CHUNK) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def score(docs: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. chunk_bytes: of a chunk, if not by the size of all texts."""
     held_out = (remainder(F.col("doc_id"), 7) == 2).alias("held_out")
     rows = docs.select("doc_id", held_out, F.coalesce("text", F.lit("")).alias("text"))
-    # at most 1 / HOT words pass in a batch; of all that passed in one, those that matter over the whole are kept, at most 1 / HOT again
-    seen = {0: 0, -1: 0}
-    counted = rows.select("text").mapInArrow(hot_contexts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    seen |= {r["key"]: r["n"] for r in counted.where("key IN (0, -1)").collect()}
-    chunks = int(max(1, seen[-1] // chunk_bytes))
-    shards = chunks // 2 + 1
-    hot = {int(np.int64(r["key"]).view(np.uint64)): 1 + int(2 * shards * r["n"] / max(1, seen[0])) for r in counted.where((~F.col("key").isin(0, -1)) & (F.col("n") > HOT * seen[0])).collect()}
+    total = rows.agg(F.count_if(~F.col("held_out")).alias("train"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("size")).first()
+    chunk_bytes = chunk_bytes or max(CHUNK, int((total["size"] * MESSAGE) ** 0.5))
+    shards = 1 + total["size"] // chunk_bytes
+    chunks = materialize(rows.mapInArrow(packed(chunk_bytes), "chunk long, docs binary, often array<long>, times array<long>"), "lm-chunks")
+    # at most 1 / HOT words pass in a chunk; of all that passed in one, those that matter over the whole are kept, at most 1 / HOT again
+    often = chunks.select(F.explode(F.arrays_zip("often", "times")).alias("x")).groupBy(F.col("x.often").alias("key")).agg(F.sum("x.times").alias("n"))
+    words = (often.where("key = 0").select("n").first() or [0])[0]
+    top = often.where((F.col("key") != 0) & (F.col("n") > HOT * words)).collect()
+    hot = {int(np.int64(r["key"]).view(np.uint64)): 1 + int(2 * shards * r["n"] / max(1, words)) for r in top}
     hot[BEGIN] = 1 + shards // 50
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks)).cast("int"))
 
-    def ask(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        b = bigrams(group["text"].tolist(), ~group["held_out"].to_numpy(bool))
-        out = [(s, int(key[0]), pack(b["contexts"][own], fanout.astype(np.uint32), b["successors"][places].astype(KEY32), b["counts"][places])) for s, own, fanout, places in routes(b, hot, shards)]
-        return pd.DataFrame(out, columns=["shard", "chunk", "request"])
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                _, out, texts = from_blob(blob.as_py())
+                found = list(requests(ngrams(texts, ~out), hot, shards))
+                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int32()), pa.array([chunk] * len(found), pa.int64()), pa.array([r for _, r in found], pa.binary())], names=["shard", "chunk", "request"])
 
     def answer(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        out, keys, totals = build_and_answer(list(zip(group["chunk"], group["request"])))
+        replies, keys, counts = build_and_answer(list(group["request"]))
         split = np.array([int(k) in hot for k in keys.tolist()])
-        frame = pd.DataFrame([(c, int(key[0]), a, 0, 0) for c, a in out], columns=["chunk", "shard", "answer", "tokens", "words"])
-        frame.loc[0, ["tokens", "words"]] = [int(totals[keys != BEGIN].sum()), int((totals[~split] > 0).sum())]
-        # a hot word counts once, at the first of its shards that has it in training: the rows of all are joined below
-        seen_hot = [(-1, int(key[0]), int(k).to_bytes(8, "little"), 0, 0) for k, t in zip(keys[split].tolist(), totals[split]) if t > 0 and k != BEGIN]
+        frame = pd.DataFrame({"chunk": group["chunk"].to_numpy(), "shard": int(key[0]), "answer": replies, "tokens": 0, "words": 0})
+        frame.loc[0, ["tokens", "words"]] = [int(counts[keys != BEGIN].sum()), int((counts[~split] > 0).sum())]
+        # a hot word counts once: the rows of all its shards that have it in training are joined below
+        seen_hot = [(-1, int(key[0]), int(k).to_bytes(8, "little"), 0, 0) for k, t in zip(keys[split].tolist(), counts[split]) if t > 0 and k != BEGIN]
         return pd.concat([frame, pd.DataFrame(seen_hot, columns=frame.columns)]) if seen_hot else frame
 
-    asked = dealt.groupBy("chunk").applyInPandas(ask, "shard int, chunk int, request binary")
-    answered = materialize(asked.groupBy("shard").applyInPandas(answer, "chunk int, shard int, answer binary, tokens long, words long"), "lm-answers")
+    asked = chunks.select("chunk", "docs").mapInArrow(ask, "shard int, chunk long, request binary")
+    answered = materialize(asked.groupBy("shard").applyInPandas(answer, "chunk long, shard int, answer binary, tokens long, words long"), "lm-answers")
     sums = answered.agg(F.sum("tokens"), F.sum("words"), F.count_distinct(F.when(F.col("chunk") == -1, F.col("answer")))).first()
-    train_docs = rows.where(~F.col("held_out")).count()
-    n = int(sums[0] or 0) + train_docs
-    v = int(sums[1] or 0) + int(sums[2]) + (train_docs > 0)
+    n = int(sums[0] or 0) + total["train"]
+    v = int(sums[1] or 0) + int(sums[2]) + (total["train"] > 0)
 
     def finish(key: tuple, group: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if group.empty:
             return pd.DataFrame({"doc_id": [], "held_out": [], "n_tokens": [], "n_known": [], "train_tokens": [], "base_score": [], "score": []})
-        b = bigrams(group["text"].tolist(), ~group["held_out"].to_numpy(bool))
-        found = score_chunk(b, dict(zip(answers["shard"], answers["answer"])), hot, shards, n, v, mu)
-        return pd.DataFrame({"doc_id": group["doc_id"], "held_out": group["held_out"], "n_tokens": found["n_tokens"], "n_known": found["n_known"], "train_tokens": n, "base_score": found["base_score"], "score": found["score"]})
+        ids, out, texts = from_blob(group["docs"].iat[0])
+        found = score_chunk(ngrams(texts, ~out), dict(zip(answers["shard"], answers["answer"])), hot, shards, n, v)
+        return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "held_out": out, "train_tokens": n} | found)
 
     replies = answered.where("chunk >= 0").select("chunk", "shard", "answer")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInPandas(finish, schema)
+    return chunks.select("chunk", "docs").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInPandas(finish, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
