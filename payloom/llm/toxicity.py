@@ -29,6 +29,8 @@ from payloom.llm.models import Boosted, Isotonic, sample_labels
 PER_CLASS = 4000
 #: Lexicon entries must occur in as many toxic texts of the lexicon's part of the sample, and in few others.
 LEAST, CLEAN_SHARE = 8, 0.05
+#: The sample is dealt into PARTS: those below LEXICON fit the lexicon, those from CALIBRATION on the calibration, the rest the trees.
+PARTS, LEXICON, CALIBRATION = 20, 9, 16
 #: Lengths of word beginnings in the lexicon.
 STEMS = (4, 5)
 
@@ -41,6 +43,17 @@ SIGNS = re.compile(r"[!?]").findall
 PUNCTUATION = re.compile(r"[^\w\s]").findall
 
 
+def keys(text: str) -> tuple[set[str], set[str]]:
+    """Distinct words of a text, and their beginnings."""
+    words = set(WORDS(text.lower()))
+    return words, {w[:n] for w in words for n in STEMS if len(w) >= n}
+
+
+def telling(toxic: int, clean: int, share: float) -> bool:
+    """Whether an entry occurs in enough toxic texts and in few others; share: toxic texts for each other one."""
+    return toxic >= LEAST and clean * share <= CLEAN_SHARE * toxic
+
+
 @dataclass
 class Lexicon:
     words: frozenset[str]
@@ -48,13 +61,13 @@ class Lexicon:
 
     @classmethod
     def fit(cls, texts: list[str], y: np.ndarray) -> Lexicon:
+        share = max(1, int(y.sum())) / max(1, len(y) - int(y.sum()))
         found = []
-        for keys in (lambda ws: ws, lambda ws: {w[:n] for w in ws for n in STEMS if len(w) >= n}):
+        for kind in (0, 1):
             toxic, clean = Counter(), Counter()
             for t, label in zip(texts, y):
-                (toxic if label else clean).update(keys(set(WORDS(t.lower()))))
-            share = max(1, int(y.sum())) / max(1, len(y) - int(y.sum()))
-            found.append(frozenset(k for k, n in toxic.items() if n >= LEAST and clean[k] * share <= CLEAN_SHARE * n))
+                (toxic if label else clean).update(keys(t)[kind])
+            found.append(frozenset(k for k, n in toxic.items() if telling(n, clean[k], share)))
         return cls(*found)
 
     def features(self, text: str) -> tuple[float, ...]:
@@ -80,6 +93,10 @@ class Lexicon:
         )
 
 
+def part_of(doc_id: int) -> int:
+    return crc32(f"part{doc_id}".encode()) % PARTS
+
+
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
@@ -88,23 +105,19 @@ class ToxicityModel:
     prior: float
 
     @classmethod
-    def fit(cls, rows: list[tuple[int, str, int]], counts: dict[int, int]) -> ToxicityModel:
-        """rows: doc_id, text, label of a sample; counts: labels of all training rows."""
+    def fit(cls, lexicon: Lexicon, rows: list[tuple[int, int, list[float]]], counts: dict[int, int]) -> ToxicityModel:
+        """rows: doc_id, label and features of the sample but for the lexicon's part; counts: labels of all training rows."""
         total = sum(counts.values())
         prior = counts.get(1, 0) / total if total else 0.0
-        rows = sorted(rows, key=lambda r: (crc32(f"part{r[0]}".encode()), r[0]))
-        part = np.array([crc32(f"part{r[0]}".encode()) % 20 for r in rows])
-        y = np.array([r[2] for r in rows])
-        texts = [r[1] for r in rows]
-        weight = np.where(y == 1, counts.get(1, 0) / max(1, y.sum()), counts.get(0, 0) / max(1, (1 - y).sum())) if len(y) else y
-        mine = part < 9
-        lexicon = Lexicon.fit([t for t, m in zip(texts, mine) if m], y[mine]) if len(y) else Lexicon(frozenset(), frozenset())
-        rest, last = (part >= 9) & (part < 16), part >= 16
-        if min((np.bincount(y[m].astype(int), minlength=2).min() for m in (rest, last)), default=0) < 5 if len(y) else True:
+        rows = sorted(rows, key=lambda r: (crc32(f"part{r[0]}".encode()), r[0], r[2]))
+        part, y = np.array([part_of(r[0]) for r in rows]), np.array([r[1] for r in rows], int)
+        rest, last = part < CALIBRATION, part >= CALIBRATION
+        if not len(y) or min(np.bincount(y[m], minlength=2).min() for m in (rest, last)) < 5:
             return cls(lexicon, None, Isotonic(), prior)
-        x = np.array([lexicon.features(t) for t in texts])
-        trees = Boosted.fit(x[rest], y[rest], np.ones(rest.sum()))
-        return cls(lexicon, trees, Isotonic.fit(trees(x[last]), y[last], weight[last]), prior)
+        weight = np.where(y == 1, counts.get(1, 0) / max(1, y.sum()), counts.get(0, 0) / max(1, (1 - y).sum()))
+        x = np.array([r[2] for r in rows])
+        trees = Boosted.fit(x[rest], y[rest].astype(float), np.ones(rest.sum()))
+        return cls(lexicon, trees, Isotonic.fit(trees(x[last]), y[last].astype(float), weight[last]), prior)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if self.trees is None or not texts:
@@ -113,9 +126,30 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ToxicityModel:
+    """Only counts of words and rows of features come to the driver, so its memory is bounded whatever the texts' length."""
     chosen, counts = sample_labels(labels, "toxic", remainder(F.col("doc_id"), 5) != 0, per_class)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")), "y").collect()
-    return ToxicityModel.fit([tuple(r) for r in rows], counts)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", F.coalesce("text", F.lit("")).alias("text"))
+    part = F.crc32(F.concat(F.lit("part"), F.col("doc_id").cast("string"))) % PARTS
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(kind, k, y) for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for kind, ks in enumerate(keys(text)) for k in ks]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int32()))], names=["kind", "k", "y"])
+
+    first = sample.where(part < LEXICON)
+    sizes = {r["y"]: r["n"] for r in first.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    share = max(1, sizes.get(1, 0)) / max(1, sizes.get(0, 0))
+    seen = first.select("y", "text").mapInArrow(entries, "kind int, k string, y int").groupBy("kind", "k").agg(F.sum("y").alias("toxic"), F.count_if(F.col("y") == 0).alias("clean"))
+    told = seen.where((F.col("toxic") >= LEAST) & (F.col("clean") * share <= CLEAN_SHARE * F.col("toxic"))).collect()
+    lexicon = Lexicon(*(frozenset(r["k"] for r in told if r["kind"] == kind) for kind in (0, 1)))
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [list(map(float, lexicon.features(t))) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
+
+    rows = sample.where(part >= LEXICON).mapInArrow(features, "doc_id long, y int, x array<double>").collect()
+    return ToxicityModel.fit(lexicon, [tuple(r) for r in rows], counts)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
