@@ -1,7 +1,8 @@
 """Quality classifier by co-training of two views.
 
 The text view sees measures of the text itself; the metadata view sees what a page carries beside it: source, language tag and length. Both start from the same labelled
-rows. In each round each view labels the unlabelled documents that it is surest of, and the other view learns from them. At the end each view is calibrated
+rows. In each round each view labels the unlabelled documents that it is surest of, if it was right about nearly all held-back rows that it was
+as sure of, and the other view learns from them. At the end each view is calibrated
 and a logistic model weighs the two into one score for every document, from 0 to 1, for quality 1.
 
 Fitted on bounded samples, the lowest by hash: PER_CLASS labelled rows of each class whose crc32 remainder modulo 5 isn't 0, and POOL unlabelled documents. The
@@ -25,7 +26,8 @@ from payloom.llm.common import read_table, remainder
 from payloom.llm.models import Boosted, Isotonic, Logistic, sample_labels
 
 PER_CLASS, POOL = 2000, 3000
-ROUNDS, SUREST = 4, 0.03
+#: Rounds, the share of the pool that a view labels for the other in one at most, by class, and how often it must have been right.
+ROUNDS, SUREST, SURE = 4, 0.03, 0.95
 SOURCES = 1024
 
 CLASSES = [re.compile(p).findall for p in (r"[A-Z]", r"[#*$%&|<>{}\\^~]", r"[.!?]", r"[,;:]", r"[0-9]", r"[^\x00-\x7f]", r"!!")]
@@ -50,6 +52,14 @@ def bucket(value: str | None) -> int:
     return crc32((value or "").encode()) % SOURCES
 
 
+def rightness(held: np.ndarray, y: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of label 0 among held-back rows scored at most p, and of label 1 among those scored at least p, with one more row of each label."""
+    order = np.argsort(held, kind="stable")
+    ones = np.r_[0, np.cumsum(y[order])]
+    upto, below = np.searchsorted(held[order], p, "right"), np.searchsorted(held[order], p, "left")
+    return (upto - ones[upto] + 1) / (upto + 2), (ones[-1] - ones[below] + 1) / (len(y) - below + 2)
+
+
 @dataclass
 class CoTrained:
     rates: np.ndarray = field(default_factory=lambda: np.zeros((2, SOURCES)))  # by source and by language
@@ -76,16 +86,17 @@ class CoTrained:
 
     @classmethod
     def fit(cls, labelled: list[tuple], pool: list[tuple], counts: dict[int, int], rates: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
-        """labelled: doc_id, label, text, source, lang, n_chars; pool: the same without a label."""
+        """labelled: doc_id, label, text features, source, lang, n_chars; pool: the same without a label."""
         total = sum(counts.values())
         model = cls(rates, prior=counts.get(1, 0) / total if total else 0.0)
+        labelled, pool = sorted(labelled, key=lambda r: (r[0], r[2])), sorted(pool, key=lambda r: (r[0], r[1]))
         y = np.array([r[1] for r in labelled], int)
         last = np.array([crc32(f"part{r[0]}".encode()) % 4 == 0 for r in labelled], bool)
         if not len(y) or min(np.bincount(y[last], minlength=2).min(), np.bincount(y[~last], minlength=2).min()) < 5:
             return model
         weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
         weight = weight / weight.mean()
-        both = [(np.array([text_features(r[-4]) for r in rows]), np.array([model.meta_features(*r[-3:]) for r in rows])) for rows in (labelled, pool or labelled[:1])]
+        both = [(np.array([r[-4] for r in rows]), np.array([model.meta_features(*r[-3:]) for r in rows])) for rows in (labelled, pool or labelled[:1])]
         (xt, xm), (pt, pm) = both
         sets = [[v[~last], y[~last].astype(float), weight[~last]] for v in (xt, xm)]
         pools, free = (pt, pm), [np.ones(len(pt), bool), np.ones(len(pt), bool)]
@@ -94,10 +105,12 @@ class CoTrained:
             if turn == rounds or not pool:
                 break
             for view, other in ((0, 1), (1, 0)):
-                p = (model.text, model.meta)[view](pools[view])
+                learner = (model.text, model.meta)[view]
+                p = learner(pools[view])
+                bad, good = rightness(learner((xt, xm)[view][last]), y[last], p)
                 order = np.argsort(p, kind="stable")
                 n = max(1, int(SUREST * len(p)))
-                sure = np.r_[order[:n][p[order[:n]] < 0.1], order[-n:][p[order[-n:]] > 0.9]]
+                sure = np.r_[order[:n][bad[order[:n]] >= SURE], order[-n:][good[order[-n:]] >= SURE]]
                 sure = sure[free[other][sure]]
                 free[other][sure] = False
                 sets[other] = [np.concatenate(x) for x in zip(sets[other], (pools[other][sure], np.round(p[sure]), np.full(len(sure), 0.5)))]
@@ -109,10 +122,22 @@ class CoTrained:
 COLUMNS = ("text", "source", "lang", "n_chars")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL) -> CoTrained:
+def measured(rows: DataFrame) -> DataFrame:
+    """Rows of doc_id, y and COLUMNS with the measures of the text in place of it."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [list(map(float, text_features(t))) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(x, pa.list_(pa.float64())), *batch.columns[3:]], names=batch.schema.names)
+
+    return rows.mapInArrow(step, "doc_id long, y int, text array<double>, source string, lang string, n_chars long")
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL, rounds: int = ROUNDS) -> CoTrained:
     train = remainder(F.col("doc_id"), 5) != 0
     chosen, counts = sample_labels(labels, "quality", train, per_class)
-    labelled = docs.select("doc_id", *COLUMNS).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", *COLUMNS).collect()
+    # features, not texts, come to the driver, so its memory is bounded whatever the texts' length
+    labelled = measured(docs.select("doc_id", *COLUMNS).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", *COLUMNS)).collect()
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     rates = np.full((2, SOURCES), prior)
     marks = labels.where(F.col("quality").isin(0, 1) & train).groupBy("doc_id").agg(F.max("quality").alias("y"))
@@ -123,8 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
             rates[k, r["k"]] = (r["good"] + 20 * prior) / (r["n"] + 20)
     spare = docs.where(train).select("doc_id", *COLUMNS)
     ids = spare.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool)
-    unlabelled = spare.join(F.broadcast(ids), "doc_id").limit(2 * pool).collect()
-    return CoTrained.fit([tuple(r) for r in labelled], [tuple(r) for r in unlabelled], counts, rates)
+    unlabelled = measured(spare.join(F.broadcast(ids), "doc_id").select("doc_id", F.lit(0).alias("y"), *COLUMNS)).collect()
+    return CoTrained.fit([tuple(r) for r in labelled], [(r["doc_id"], *r[2:]) for r in unlabelled], counts, rates, rounds)
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
