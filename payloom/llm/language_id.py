@@ -6,7 +6,7 @@ spherical k-means; the nearest centroid by cosine wins. A text farther from it t
 marked as rejected, while the nearest language is still reported.
 
 Document frequencies are counted over all training documents. The clusters are fitted on a bounded sample (SAMPLE documents, dealt
-evenly over all languages by hash, one of each at least). Null texts and texts without letters are `und` with score 0. Without a training document all are `und`.
+evenly over all languages by hash, one of each at least), of which trigram counts, not texts, come to the driver. Null texts and texts without letters are `und` with score 0. Without a training document all are `und`.
 """
 
 from __future__ import annotations
@@ -74,12 +74,12 @@ class Centroids:
         return normalised(np.log1p(counts(texts)) * self.idf)
 
     @classmethod
-    def fit(cls, sample: list[tuple[str, str]], idf: np.ndarray, clusters: int = CLUSTERS) -> Centroids:
-        """sample: (language, text)."""
+    def fit(cls, sample: list[tuple[str, np.ndarray]], idf: np.ndarray, clusters: int = CLUSTERS) -> Centroids:
+        """sample: (language, trigram counts)."""
         model = cls(sorted({lang for lang, _ in sample}), idf.astype(np.float32), np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), np.zeros(0))
         centres, owner, radius = [], [], []
         for i, lang in enumerate(model.languages):
-            x = model.vectors([t for other, t in sample if other == lang])
+            x = normalised(np.log1p(np.stack([n for other, n in sample if other == lang])) * model.idf)
             c = x[:1]
             while len(c) < min(clusters, len(x)):  # the farthest point from those chosen
                 c = np.vstack([c, x[(x @ c.T).max(1).argmin()][None]])
@@ -138,12 +138,31 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Centroids:
     rows = []
     if langs:
         draw = F.pmod(F.xxhash64("doc_id", F.lit("centroids")), F.lit(1 << 30)) / float(1 << 30)
-        rows = train.where(draw < F.try_element_at(share, "lang")).select("lang", "text").limit(2 * max(sample, len(langs))).collect()
+        drawn = counted(train.where(draw < F.try_element_at(share, "lang")).select("lang", "text", F.xxhash64("doc_id").alias("h")))
+        rows = drawn.orderBy("h", "lang", "places", "times").limit(2 * max(sample, len(langs))).collect()
         missing = {r["k"][1:] for r in langs} - {r["lang"] for r in rows}
         if missing:  # too few for the draw
             order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-            rows += train.where(F.col("lang").isin(sorted(missing))).withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).orderBy("lang", "place").select("lang", "text").collect()
-    return Centroids.fit([(r["lang"], r["text"]) for r in rows], np.log((1 + n) / (1 + df)) + 1)
+            first = train.where(F.col("lang").isin(sorted(missing))).withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+            rows += counted(first.select("lang", "text", F.xxhash64("doc_id").alias("h"))).orderBy("lang", "h", "places", "times").collect()
+    return Centroids.fit([(r["lang"], dense(r["places"], r["times"])) for r in rows], np.log((1 + n) / (1 + df)) + 1)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """lang, h, and the trigram counts of text as places and times: of bounded size, whatever the text's length."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [(at := np.flatnonzero(c), c[at]) for c in counts(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([at.astype("<u2").tobytes() for at, _ in each], pa.binary()), pa.array([n.astype("<f4").tobytes() for _, n in each], pa.binary())], names=["lang", "h", "places", "times"])
+
+    return rows.mapInArrow(step, "lang string, h long, places binary, times binary")
+
+
+def dense(places: bytes, times: bytes) -> np.ndarray:
+    out = np.zeros(DIMENSIONS, np.float32)
+    out[np.frombuffer(places, "<u2")] = np.frombuffer(times, "<f4")
+    return out
 
 
 def identify(docs: DataFrame, model: Centroids) -> DataFrame:
