@@ -82,7 +82,7 @@ def test_language_id_model(spark):
     rows = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL AND doc_id % 20 = 1").collect()]
     df = Counter(k for _, t in rows for k in trigrams(t))
     idf = np.array([math.log((1 + len(rows)) / (1 + df[k])) + 1 for k in range(language_id.DIMENSIONS)])
-    model = language_id.Centroids.fit(rows, idf)
+    model = language_id.Centroids.fit(list(zip([x for x, _ in rows], language_id.counts([t for _, t in rows]))), idf)
 
     def vector(text):
         x = {k: math.log1p(n) * idf[k] for k, n in trigrams(text).items()}
@@ -119,6 +119,14 @@ def test_language_id_model(spark):
     assert agree >= 0.95 * (len(texts) - 1)
 
 
+def test_rightness():
+    held, y = np.array([0.1, 0.2, 0.2, 0.7, 0.9]), np.array([0, 0, 1, 1, 1])
+    for p in (0.0, 0.1, 0.2, 0.5, 0.9, 1.0):
+        low, high = held <= p, held >= p
+        bad, good = (float(x[0]) for x in quality_classifier.rightness(held, y, np.array([p])))
+        assert bad == ((1 - y)[low].sum() + 1) / (low.sum() + 2) and good == (y[high].sum() + 1) / (high.sum() + 2)
+
+
 def naive_boosted(x, y, n_trees, depth=3, rate=0.2, n_bins=32, ridge=1.0):
     """Scores of the same trees, grown row by row over all features and thresholds."""
     edges = [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, n_bins + 1)[1:-1]).tolist())) for j in range(x.shape[1])]
@@ -200,16 +208,20 @@ def test_co_training_exchanges_confident_labels(monkeypatch):
     """Each view learns from what the other is sure of, each document at most once, and never from its own labels."""
     rng = random.Random(2)
     make = lambda i: (i, i % 2, ("good words in order " * 5 if i % 2 else "BAD $$$ !! " * 9) + f"n{rng.randrange(99)}", "siteA" if i % 2 else "siteB", "en", 100)
-    labelled, pool = [make(i) for i in range(80)], [(i, *make(i)[2:]) for i in range(1000, 1200)]
+    seen = lambda r: (*r[:2], quality_classifier.text_features(r[2]), *r[3:])
+    labelled, pool = [seen(make(i)) for i in range(400)], [(i, *seen(make(i))[2:]) for i in range(1000, 1200)]
     rates = np.full((2, quality_classifier.SOURCES), 0.5)
     rates[0, quality_classifier.bucket("siteA")], rates[0, quality_classifier.bucket("siteB")] = 0.9, 0.1
     fits = {"text": [], "meta": []}
     for name, kind in (("text", Boosted), ("meta", Logistic)):
         monkeypatch.setattr(kind, "fit", classmethod(lambda cls, x, y, w=None, *a, real=kind.fit.__func__, name=name, **b: (fits[name].append((len(y), float(np.mean(y)))), real(cls, x, y, w, *a, **b))[1]))
-    model = quality_classifier.CoTrained.fit(labelled, pool, {0: 40, 1: 40}, rates, rounds=3)
+    model = quality_classifier.CoTrained.fit(labelled, pool, {0: 200, 1: 200}, rates, rounds=3)
     sizes = [n for n, _ in fits["text"]]
     most = 2 * max(1, int(quality_classifier.SUREST * len(pool)))
     assert len(sizes) == 4 and all(0 <= b - a <= most for a, b in zip(sizes, sizes[1:])) and sizes[-1] > sizes[0]
+    few = fits["text"][:]
+    quality_classifier.CoTrained.fit(labelled[:60], pool, {0: 30, 1: 30}, rates, rounds=2)
+    assert {n for n, _ in fits["text"][len(few) :]} == {min(n for n, _ in fits["text"][len(few) :])}  # too few held-back rows to be sure of anything
     p, views = model.scores([make(i)[2:] for i in range(2000, 2040)])
     assert all((x > 0.5) == (i % 2 == 1) for i, x in zip(range(2000, 2040), p)) and views.shape == (40, 2)
 
