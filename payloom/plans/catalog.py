@@ -59,11 +59,11 @@ class Tables:
         style = lambda n, *options: F.get(F.array(*options), (k % n).cast("int"))
         return self.spark.read.parquet(f"{self.sf_dir}/orders.parquet").select(
             k.alias("k"),
-            style(9, plain, F.concat(F.lit("$"), comma), F.concat(F.lit("("), comma, F.lit(")")), F.concat(plain, F.lit("-")), F.concat(plain, F.lit("CR")), F.concat(F.lit("-"), plain), F.lit("n/a"), F.concat(F.lit(" €"), comma, F.lit(" ")), F.lit("0.00")).alias("amount"),
-            style(8, day.cast("string"), F.date_format(day, "MM/dd/yyyy"), F.date_format(day, "dd-MMM-yyyy"), F.date_format(day, "MMM d, yyyy"), F.date_format(day, "yyyyMMdd"), F.date_format(day, "MM/dd/yy"), F.lit("00/00/0000"), F.date_format(day, "dd.MM.yyyy")).alias("invoice_date"),
+            style(9, plain, F.concat(F.lit("$"), comma), F.concat(F.lit("("), comma, F.lit(")")), F.concat(plain, F.lit("-")), F.concat(plain, F.lit("CR")), F.concat(F.lit("-"), plain), F.lit("tbd"), F.concat(F.lit(" €"), comma, F.lit(" ")), F.lit("0.00")).alias("amount"),
+            style(8, day.cast("string"), F.date_format(day, "MM/dd/yyyy"), F.date_format(day, "dd-MMM-yyyy"), F.date_format(day, "MMM d, yyyy"), F.date_format(day, "yyyyMMdd"), F.date_format(day, "MM/dd/yy"), F.lit("0000-00-00"), F.date_format(day, "dd.MM.yyyy")).alias("invoice_date"),
             style(7, F.lit("open"), F.lit(" PAID "), F.lit("On-Hold"), F.lit("cancelled"), F.lit(""), F.lit("zz"), F.lit(None).cast("string")).alias("status"),
             style(5, F.concat(F.lit("INV-"), F.lpad(k.cast("string"), 7, "0")), F.concat(F.lit("inv "), k.cast("string")), F.concat(F.lit("2024/00"), k.cast("string")), F.lit("##"), F.concat(F.lit("A0B00"), k.cast("string"))).alias("invoice_number"),
-            style(6, F.lit("Acme Corporation"), F.lit(" ACME Corp. "), F.lit("Smith & Sons, Ltd."), F.lit("Group Holdings LLC"), F.concat(F.lit("Vendor "), (k % 100).cast("string"), F.lit(" S.A.")), F.lit("")).alias("vendor_name"),
+            style(6, F.lit("Kestrel Corporation"), F.lit(" KESTREL Corp. "), F.lit("Heron & Daughters, Ltd."), F.lit("Worldwide Services PLC"), F.concat(F.lit("Vendor "), (k % 100).cast("string"), F.lit(" S.A.")), F.lit("")).alias("vendor_name"),
             style(4, F.lit("30"), F.lit("x"), F.lit("60"), F.lit(None).cast("string")).alias("payment_terms_days"),
         )
 
@@ -227,7 +227,7 @@ def queries() -> dict[str, Query]:
 RAW_SQL = r"""raw AS (SELECT o_orderkey AS k, o_orderkey % 9 AS sa, o_orderkey % 8 AS sd, CAST(o_totalprice AS DECIMAL(14,2)) AS price, CAST(o_orderdate AS DATE) AS day,
   ([' open', ' PAID ', 'On-Hold', 'cancelled', '', 'zz', NULL])[o_orderkey % 7 + 1] AS status,
   (['INV-' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0'), 'inv ' || CAST(o_orderkey AS VARCHAR), '2024/00' || CAST(o_orderkey AS VARCHAR), '##', 'A0B00' || CAST(o_orderkey AS VARCHAR)])[o_orderkey % 5 + 1] AS invoice_number,
-  (['Acme Corporation', ' ACME Corp. ', 'Smith & Sons, Ltd.', 'Group Holdings LLC', 'Vendor ' || CAST(o_orderkey % 100 AS VARCHAR) || ' S.A.', ''])[o_orderkey % 6 + 1] AS vendor_name,
+  (['Kestrel Corporation', ' KESTREL Corp. ', 'Heron & Daughters, Ltd.', 'Worldwide Services PLC', 'Vendor ' || CAST(o_orderkey % 100 AS VARCHAR) || ' S.A.', ''])[o_orderkey % 6 + 1] AS vendor_name,
   ([30, 30, 60, 30])[o_orderkey % 4 + 1] AS terms FROM orders),
 parsed AS (SELECT *, CASE WHEN sa = 6 THEN NULL WHEN sa = 8 THEN CAST(0 AS DECIMAL(14,2)) WHEN sa IN (2, 3, 4, 5) THEN CAST(-price AS DECIMAL(14,2)) ELSE price END AS amount,
   CASE WHEN sd = 6 THEN NULL ELSE day END AS invoice_date,

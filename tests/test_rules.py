@@ -17,7 +17,7 @@ def invoices(spark, rows):
     return spark.createDataFrame([tuple(Decimal(r[n]) if n == "amount" else r[n] for n in names) for r in full], INVOICES)
 
 
-def vendors(spark, names=("acme", "globex")):
+def vendors(spark, names=("heron", "osprey")):
     return spark.createDataFrame([(i, n.title(), n, 30, None, STAMP) for i, n in enumerate(names, 1)], VENDORS)
 
 
@@ -59,7 +59,7 @@ def test_duplicates(spark):
 
 
 def test_fuzzy_vendor(spark):
-    v = vendors(spark, ("vandelay industries", "vandelay industres", "acme"))
+    v = vendors(spark, ("kestrel freighters", "kestrel freighter", "heron"))
     d = dt.date(2024, 1, 1)
     inv = invoices(spark, [{"invoice_id": 1}, {"invoice_id": 2, "vendor_id": 2, "invoice_date": d + dt.timedelta(15)}, {"invoice_id": 3, "vendor_id": 2, "invoice_date": d + dt.timedelta(16)}, {"invoice_id": 4, "vendor_id": 1}, {"invoice_id": 5, "vendor_id": 3}])
     assert hits(rules.dup_fuzzy_vendor(inv, v)) == [(2, "DUP_FUZZY_VEND", 1), (4, "DUP_FUZZY_VEND", 2)]
