@@ -268,7 +268,7 @@ def region_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, si
         if "join" in kinds:
             join_parts(marked.where("kind = 'join'").withColumn("part", F.lit("")))
         if "deal" in kinds:
-            join_parts(_deal(marked.where("kind = 'deal'"), load))
+            join_parts(_deal(marked.where("kind = 'deal'"), load, most))
         if "divide" not in kinds:
             break
         wide = marked.where("kind = 'divide'").withColumn("parts", F.ceil("load").cast("int"))
@@ -279,12 +279,14 @@ def region_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, si
         found.append(cut.where("other IS NOT NULL").select("seal", "other"))
         inside = cut.where("other IS NULL").drop("other")
         cells = inside.groupBy("parent", "cell").agg(F.count("*").alias("n")).groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+        # what is said of cells is written, for then it's shuffled for the joins with their sets, or sent if it's small, and a cell of very many sets can be split
         divided = cells.join(totals.select(F.col("cell").alias("parent"), "c"), "parent").select("parent", (F.col("pairs") > SHRUNK * F.col("c") * F.col("c")).alias("stuck"))
+        divided = materialize(divided, "jaccard-judged", most)
         judged = inside.join(divided, "parent").where("NOT stuck OR own")
         children = judged.select(F.when(F.col("stuck"), F.col("parent")).otherwise(F.col("cell")).alias("cell"), "seal", (F.col("home") & (F.col("stuck") | F.col("own"))).alias("home"), "grp", F.when(~F.col("stuck"), F.col("d")).alias("d"), "stuck")
         # of a cell's largest group only the sets in the window of the others' distances matter, and the others themselves
-        named = _main(children)
-        edges = named.where("NOT in_main").groupBy("cell").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+        named = _main(children, most)
+        edges = materialize(named.where("NOT in_main").groupBy("cell").agg(F.min("d").alias("low"), F.max("d").alias("high")), "jaccard-edges", most)
         window = named.join(edges, "cell").where(~F.col("in_main") | F.col("stuck") | F.col("d").between(F.col("low") - tau - 1e-9, F.col("high") + tau + 1e-9))
         rows, turn = materialize(window.select("cell", "seal", "home", "grp", "stuck"), "jaccard-window", cut.count()), turn + 1
         most = rows.count()
@@ -294,17 +296,18 @@ def region_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, si
     return out
 
 
-def _main(rows: DataFrame) -> DataFrame:
-    """in_main: whether a set is in the largest group of its cell."""
+def _main(rows: DataFrame, most: int) -> DataFrame:
+    """in_main: whether a set is in the largest group of its cell. most: sets of all cells."""
     groups = rows.where("grp >= 0").groupBy("cell", "grp").agg(F.count("*").alias("of_group")).groupBy("cell").agg(F.max_by("grp", F.struct("of_group", "grp")).alias("main"))
+    groups = materialize(groups, "jaccard-main", most)
     return rows.join(groups, "cell", "left").withColumn("in_main", F.coalesce(F.col("grp") == F.col("main"), F.lit(False))).drop("main")
 
 
-def _deal(rows: DataFrame, load: Callable[..., DataFrame]) -> DataFrame:
+def _deal(rows: DataFrame, load: Callable[..., DataFrame], most: int) -> DataFrame:
     """Parts of cells that pivots don't divide. What isn't in a cell's largest group goes to each part, and the group is dealt out; if the former
     is more than half a task, the cell is cut into blocks, of which each two meet."""
-    named = _main(rows)
-    others = load(named.where("NOT in_main").select("cell", "seal")).select("cell", F.col("load").alias("others"))
+    named = _main(rows, most)
+    others = materialize(load(named.where("NOT in_main").select("cell", "seal")).select("cell", F.col("load").alias("others")), "jaccard-others", most)
     named = named.join(others, "cell")  # a cell of one group isn't dealt
     parts = F.ceil(2 * F.col("load")).cast("int")
     few = named.where("others <= 0.5")
@@ -317,20 +320,22 @@ def _deal(rows: DataFrame, load: Callable[..., DataFrame]) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each linked node reaches, but for roots themselves. links: (seal, other)."""
+    spark = links.sparkSession
     edges = materialize(links.select(F.greatest("seal", "other").alias("u"), F.least("seal", "other").alias("v")).where("u != v").distinct(), "components")
     before = None
     while True:
-        both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        # the least neighbours are written, so that both sides of the joins are shuffled for them, and a node with very many neighbours can be split
+        both = edges.union(edges.select("v", "u"))
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components-least", 2 * now[0])
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        lower = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "components-least", now[0])
+        small = large.join(lower, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
         # a step never adds links
         before, old, edges = now, edges, materialize(small, "components", now[0])
-        release(links.sparkSession, old)
+        release(spark, old, least, lower)
 
 
 def regions(sets: DataFrame, shared: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -341,7 +346,8 @@ def regions(sets: DataFrame, shared: DataFrame, percent: int = PERCENT) -> DataF
     ranked = known.groupBy("seal", "spare").agg(F.array_sort(F.collect_list(F.struct("last", "df", "key"))).alias("ks"), F.count_if(~F.col("last")).alias("n_shared"))
     length = (F.col("spare") + F.col("n_shared")).cast("int")
     prefix = materialize(ranked.where(length > 0).select("seal", F.explode(F.slice("ks", F.lit(1), length)).alias("k")).select("seal", "k.key"), "jaccard-prefix")
-    pivots = prefix.groupBy("key").agg(F.min("seal").alias("region"), F.count("*").alias("c")).where("c > 1").select("key", "region")
+    # written, so that both sides of the join are shuffled for it, and a key that a large part of all sets has can be split
+    pivots = materialize(prefix.groupBy("key").agg(F.min("seal").alias("region"), F.count("*").alias("c")).where("c > 1").select("key", "region"), "jaccard-pivots", prefix.count())
     return materialize(prefix.join(pivots, "key").select("region", "seal").distinct(), "jaccard-regions")
 
 
@@ -371,7 +377,8 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tupl
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     least = groups.join(roots, F.col("seal") == F.col("node")).groupBy("root").agg(F.min("rep").alias("component"))
     found = groups.join(roots.join(least, "root").select(F.col("node").alias("seal"), "component"), "seal", "left").select("seal", F.coalesce("component", "rep").alias("component"))
-    return rows.select("doc_id", "n", "seal"), found
+    # written, so that both sides of the join with the rows are shuffled for it, and a large class of copies can be split
+    return rows.select("doc_id", "n", "seal"), materialize(found, "jaccard-components", rows.count())
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
