@@ -142,6 +142,19 @@ def test_bpe_long_pieces_and_rows(spark):
     assert bpe.encode_documents(frame(spark, [])).count() == 0
 
 
+def test_bpe_cuts_by_halves_equal_whole_cuts():
+    rng = random.Random(7)
+    kinds = ["aeiou", "ab 's", "a1 ", "don't we'll ", "!? a", "   \t", "é ñ", "中 文a", "<|endoftext|> x", "x"]
+    for leaf, agree in ((1, 2), (5, 2), (40, 8)):
+        enc = bpe.TreeEncoder(bpe.default_path(), leaf=leaf, agree=agree)
+        for _ in range(300):
+            text = "".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(0, 400)))
+            assert enc.cut(text, bpe.pieces) == bpe.pieces(text)
+            if bpe.PLAIN(text):
+                assert enc.cut(text.lower(), bpe.WORDS) == bpe.WORDS(text.lower())
+        assert enc.cuts > 300
+
+
 def test_bpe_trees_grow_together():
     """Leaves of all pieces are one call of the library, and the windows of a level are one each."""
     enc = bpe.TreeEncoder(bpe.default_path(), leaf=256)
@@ -158,6 +171,8 @@ def test_bpe_rows_with_planted_pieces(spark):
     enc = bpe.TreeEncoder(bpe.default_path())
     rows = [(i, " ".join(["some words", "".join(rng.choice("ABCabcdefgh") for _ in range(rng.randint(2000, 9000))), "and more\n"] * rng.randint(1, 3))) for i in range(40)]
     got = {r["doc_id"]: r for r in bpe.encode_documents(frame(spark, rows)).collect()}
+    joins = enc.cuts
+    assert enc.encode_batch([t for _, t in rows]) and enc.cuts > joins + len(rows)
     for i, text in rows:
         ids = enc.tok.encode(text, add_special_tokens=False).ids
         assert (got[i]["n_tokens"], got[i]["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
