@@ -1,15 +1,13 @@
 """BPE encoding and decoding by tree concatenation.
 
-A text is cut at spaces and line feeds, which the tokenizer's normaliser and splitter never carry a token
-across. A piece up to `leaf` code points is encoded by the library at once (short ones are remembered). A longer
-unsplit piece is the root of a tree: it is halved down to leaves, halves are encoded, and at each join a window around it
-is encoded anew: it starts `grow` tokens to either side and doubles until, on both sides, the new tokens agree with the
-halves' tokens on a stretch of `agree` tokens whose offsets are equal too. Only then is the window spliced in. A window that has
-reached both ends is the encoding of the whole.
+A text longer than `leaf` code points is halved, wherever that is, down to leaves; leaves are cut into words, and at each join a window around it is cut anew: it reaches
+`agree` words to either side and doubles until, on both sides, its words agree with the halves' words at equal places. Then the window is spliced in; one that
+has reached both ends is the whole. So the cut of one long text is that of many short ones, whatever stands at the joins.
 
-All trees of a batch of texts grow at once: their leaves are one call of the library, and so are the windows of a level, which
-the library encodes in parallel on as many threads as it is allowed. In prose no piece is as long; runs of letters, signs or digits without
-white space, such as encoded data, are.
+The words of all texts of a batch that aren't remembered go to the library in one call, which encodes them in parallel on as many threads as it is allowed (the tokenizer carries no
+token across words). A word longer than `leaf` is the root of a tree of its own, for its encoding depends on all of it: halves are encoded, and a window of
+`grow` tokens to either side of the join is encoded anew and doubles until, on both sides, the new tokens agree with the halves' on a stretch of `agree` tokens at equal
+offsets. All such trees grow at once: their leaves are one call of the library, and so are the windows of a level.
 
 Null and empty texts have no tokens. Repeated rows get repeated results, extra columns are ignored, an empty table gives an empty result.
 """
@@ -19,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Generator, Iterator
+from collections.abc import Callable, Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from payloom.llm.common import read_table
 
-#: Longest unsplit piece that goes to the library whole, in code points.
+#: Longest text that is cut whole, and longest word that goes to the library whole, in code points.
 LEAF = 2048
 #: Pieces, and split words, that a Python worker remembers at most, twice over.
 REMEMBERED = 250_000
@@ -38,6 +36,11 @@ PLAIN = re.compile("[\t\n\r !-~\u00a1-\u00ff]*").fullmatch
 WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff0-9\u00b2\u00b3\u00b9\u00bc-\u00be\\s]+").findall
 
 
+def pieces(text: str) -> list[str]:
+    """What spaces part, of other texts: the tokenizer's normaliser and splitter never carry a token across them."""
+    return [p for p in text.split(" ") if p]
+
+
 #: In the tokenizer's description: what is split off, with white space in no token.
 DROPS_SPACE = r"|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
@@ -91,7 +94,7 @@ def default_path() -> str:
 
 
 class TreeEncoder:
-    """Encodes like the library's encode(text, add_special_tokens=False), one white-space piece at a time."""
+    """Encodes like the library's encode(text, add_special_tokens=False)."""
 
     def __init__(self, path: str, leaf: int = LEAF, grow: int = 64, agree: int = 8):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -106,7 +109,7 @@ class TreeEncoder:
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known, self.words = Memory(REMEMBERED), Memory(REMEMBERED)
         self.names: dict[int, str] = {}
-        self.joins = self.rounds = 0  # of trees, and calls of the library for them
+        self.cuts = self.joins = self.rounds = 0  # joins of texts and of words, and calls of the library for the latter
         self.decoder = self.tok.decoder
 
     def trees(self, texts: list[str]) -> list[tuple[list[int], list[tuple[int, int]]]]:
@@ -159,6 +162,33 @@ class TreeEncoder:
                 return (k + n // 2, w + n // 2)
         return None
 
+    def cut(self, text: str, words: Callable[[str], list[str]]) -> list[str]:
+        """words(text), by halves. Between words, which hold none of it, there is white space only."""
+        if len(text) <= self.leaf:
+            return words(text)
+        mid = len(text) // 2
+        left, right = self.cut(text[:mid], words), self.cut(text[mid:], words)
+        self.cuts += 1
+        reach = self.agree
+        while True:
+            low, high = 0, len(text)
+            if reach < len(left):
+                low = mid
+                for w in reversed(left[-reach:]):
+                    low = text.rindex(w, 0, low)
+            if reach < len(right):
+                high = mid
+                for w in right[:reach]:
+                    high = text.index(w, high) + len(w)
+            window = words(text[low:high])
+            if low == 0 and high == len(text):
+                return window
+            # a window begins and ends where a word of a half does, so equal words there are at equal places
+            inside = reach // 2
+            if (low == 0 or window[:inside] == left[-reach:][:inside]) and (high == len(text) or window[-inside:] == right[:reach][-inside:]):
+                return (left[:-reach] if low else []) + window + (right[reach:] if high < len(text) else [])
+            reach *= 2
+
     def _fill(self, memory: Memory, fresh: list[str], one) -> dict[str, bytes]:
         """Encode what the memory lacks; what is longer than a leaf goes through the tree and isn't remembered."""
         short = [w for w in fresh if len(w) <= self.leaf]
@@ -184,7 +214,7 @@ class TreeEncoder:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, each as little-endian unsigned 32-bit integers."""
         plain = [bool(PLAIN(t)) and "<|" not in t for t in texts]
-        cut = [WORDS(t.lower()) if p else t.replace("\n", " ").split(" ") for t, p in zip(texts, plain)]
+        cut = [self.cut(t.lower(), WORDS) if p else self.cut(t.replace("\n", " "), pieces) for t, p in zip(texts, plain)]
         lists: list[list] = []
         fresh: tuple[set, set] = (set(), set())
         for ws, p in zip(cut, plain):
@@ -192,7 +222,7 @@ class TreeEncoder:
             lists.append(xs := [memory[w] for w in ws])
             if None in xs:
                 fresh[p].update([w for w, x in zip(ws, xs) if x is None])
-        got = self._fill(self.known, list(fresh[0] - {""}), self._pieces) | {"": b""}, self._fill(self.words, list(fresh[1]), self._words)
+        got = self._fill(self.known, list(fresh[0]), self._pieces), self._fill(self.words, list(fresh[1]), self._words)
         out = [b"".join([got[p][w] if x is None else x for w, x in zip(ws, xs)] if None in xs else xs) for ws, xs, p in zip(cut, lists, plain)]
         self.known.turn()
         self.words.turn()
