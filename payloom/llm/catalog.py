@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payloom.llm import bpe, decontamination, jaccard_join, language_id, language_model, license_scan, pii, quality_classifier, quality_rules, toxicity
+from payloom.llm import bpe, chat_format, decontamination, jaccard_join, language_id, language_model, license_scan, lloyd, pii, quality_classifier, quality_rules, spelling_variants, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +23,17 @@ def queries() -> dict[str, Query]:
         "op8_language_id": language_id.query,
         "op9_toxicity": toxicity.query,
         "op10_jaccard_join": jaccard_join.query,
+        "op11_spelling_variants": spelling_variants.query,
+        "op12_chat_format": chat_format.query,
+        "op13_centroid_clustering": lloyd.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules.sql(), "op10_jaccard_join": jaccard_join.sql()}
+    return {
+        "op5_quality_rules": quality_rules.sql(),
+        "op10_jaccard_join": jaccard_join.sql(),
+        "op11_spelling_variants": spelling_variants.sql(),
+        "op12_chat_format": chat_format.sql(),
+        "op13_centroid_clustering": lloyd.sql(),
+    }
