@@ -37,13 +37,13 @@ def reject_reason() -> Column:
     )
 
 
-def typed(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> DataFrame:
-    """All clean columns, the raw row in `raw`, and reject_reason. raw has source_file and source_row."""
+def typed(raw: DataFrame, default_terms: int = DEFAULT_TERMS, file: str = "source_file") -> DataFrame:
+    """All clean columns, the raw row in `raw`, and reject_reason. raw has source_file and source_row; `file` tells files apart."""
     raw = with_raw_columns(raw)
     col = F.col
     invoice_date, terms = C.parse_date(col("invoice_date")), C.parse_terms(col("payment_terms_days"), default_terms)
     out = raw.select(
-        F.struct(*[c for c in raw.columns if c not in ("source_file", "source_row")]).alias("raw"),
+        F.struct(*[f"`{c}`" for c in raw.columns if c not in ("source_file", "source_row", file)]).alias("raw"),
         C.squeeze(col("vendor_name")).alias("vendor_name"),
         C.vendor_key(col("vendor_name")).alias("vendor_normalized"),
         C.blank_to_null(col("tax_id")).alias("tax_id"),
@@ -63,27 +63,28 @@ def typed(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> DataFrame:
         C.parse_amount(col("line_total")).alias("line_total"),
         "source_file",
         "source_row",
+        *[file for _ in range(file != "source_file")],
     )
     return out.withColumn("reject_reason", reject_reason())
 
 
-def mark_repeated_lines(rows: DataFrame) -> DataFrame:
+def mark_repeated_lines(rows: DataFrame, file: str = "source_file") -> DataFrame:
     """Of accepted rows with the same vendor, raw number and line number in a file, only the first stays accepted. Rejected rows, of which
     many can have the same blank key, are dealt by their row instead."""
     alone = F.when(F.col("reject_reason").isNotNull(), F.col("source_row"))
-    key = Window.partitionBy(alone, "source_file", "vendor_normalized", "invoice_number", "line_number").orderBy("source_row")
+    key = Window.partitionBy(alone, file, "vendor_normalized", "invoice_number", "line_number").orderBy("source_row")
     again = F.col("reject_reason").isNull() & (F.row_number().over(key) > 1)
     return rows.withColumn("reject_reason", F.when(again, REPEATED_LINE).otherwise(F.col("reject_reason")))
 
 
-def marked(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> DataFrame:
+def marked(raw: DataFrame, default_terms: int = DEFAULT_TERMS, file: str = "source_file") -> DataFrame:
     """Typed rows with their raw row and the reason for rejection, if any."""
-    return mark_repeated_lines(typed(raw, default_terms))
+    return mark_repeated_lines(typed(raw, default_terms, file), file)
 
 
-def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parted(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     """(clean, rejects) of marked rows: typed rows, and raw rows with reason."""
-    return rows.where("reject_reason IS NULL").select(*CLEAN_COLUMNS), rows.where("reject_reason IS NOT NULL").select("raw.*", "reject_reason", "source_file", "source_row")
+    return rows.where("reject_reason IS NULL").select(*CLEAN_COLUMNS, *more), rows.where("reject_reason IS NOT NULL").select("raw.*", "reject_reason", "source_file", "source_row", *more)
 
 
 def clean_frame(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> tuple[DataFrame, DataFrame]:
@@ -91,8 +92,10 @@ def clean_frame(raw: DataFrame, default_terms: int = DEFAULT_TERMS) -> tuple[Dat
     return parted(marked(raw, default_terms))
 
 
-def split_invoices(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_invoices(clean: DataFrame, file: str = "source_file") -> tuple[DataFrame, DataFrame]:
     """(headers, lines). A header takes of each column the first value in file order that isn't null."""
-    firsts = [F.expr(f"min_by({c}, source_row) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in HEADER_COLUMNS if c not in ("vendor_normalized", "invoice_number", "source_row", "source_file")]
-    headers = clean.groupBy("source_file", "vendor_normalized", "invoice_number").agg(F.min("source_row").alias("source_row"), *firsts)
-    return headers.select(*HEADER_COLUMNS), clean.select("vendor_normalized", "invoice_number", "line_number", "line_description", "quantity", "unit_price", "line_total", "gl_code", "source_file", "source_row")
+    more = [file] if file != "source_file" else []
+    keys = ("vendor_normalized", "invoice_number")
+    firsts = [F.expr(f"min_by({c}, source_row) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in HEADER_COLUMNS if c not in (*keys, "source_row", file)]
+    headers = clean.groupBy(file, *keys).agg(F.min("source_row").alias("source_row"), *firsts)
+    return headers.select(*HEADER_COLUMNS, *more), clean.select("vendor_normalized", "invoice_number", "line_number", "line_description", "quantity", "unit_price", "line_total", "gl_code", "source_file", "source_row", *more)

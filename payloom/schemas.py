@@ -19,6 +19,11 @@ INVOICES = (
 INVOICE_LINES = "line_id long, invoice_id long, line_number int, description string, quantity decimal(12,3), unit_price decimal(14,4), line_total decimal(14,2), gl_code string"
 EXCEPTIONS = "exception_id long, invoice_id long, rule_code string, severity string, detail string, related_id long, detected_at timestamp, resolved_at timestamp"
 INGEST_RUNS = "run_id long, source_file string, file_hash string, rows_read int, rows_loaded int, rows_rejected int, started_at timestamp, finished_at timestamp"
+#: Of each table its id, and the columns of which a row's values are its own; null is a value there like any other.
+KEYS = {
+    "vendors": ("vendor_id", ("normalized_name",)), "invoices": ("invoice_id", ("vendor_id", "invoice_number")), "invoice_lines": ("line_id", ("invoice_id", "line_number")),
+    "exceptions": ("exception_id", ("invoice_id", "rule_code", "related_id")), "ingest_runs": ("run_id", ("file_hash",)),
+}
 TABLES = {"vendors": VENDORS, "invoices": INVOICES, "invoice_lines": INVOICE_LINES, "exceptions": EXCEPTIONS, "ingest_runs": INGEST_RUNS}
 
 MONEY = "decimal(14,2)"
