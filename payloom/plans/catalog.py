@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from payloom.functions import cleaning as C
 from payloom.functions.similarity import similar_pairs
 from payloom.operators import clean, rules, state, views
-from payloom.plans import bridge
+from payloom.plans import bridge, more_queries
 from payloom.plans.bridge import AS_OF, EARLIER, LIMIT
 from payloom.schemas import BUCKETS, INVOICE_LINES, INVOICES, constraint_violations
 
@@ -217,6 +217,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "exception_counts_by_rule": lambda t: rules.all_findings(t.invoices, t.lines, t.vendors, as_of(), LIMIT).groupBy("rule_code").agg(F.count("*").alias("n")),
     "severity_sorted_feed": lambda t: views.feed(views.open_exceptions(t.duplicates(), t.invoices, t.vendors), rules=("DUP_EXACT",), severities=("critical",)).select("exception_id", "rule_code", "severity", "amount"),
     "feed_in_order": lambda t: placed(views.feed(views.open_exceptions(t.every_finding(), t.invoices, t.vendors)), 200).select("place", "exception_id", "rule_code", "severity", "amount"),
+    **more_queries.QUERIES,
 }
 
 
@@ -269,6 +270,7 @@ stale AS (SELECT s.* FROM stored s JOIN aging a USING (invoice_id) WHERE NOT res
   CASE WHEN {vendor} = '' THEN 'missing_vendor' WHEN invoice_date IS NULL THEN 'unparseable_invoice_date' WHEN amount IS NULL THEN 'unparseable_amount' WHEN amount = 0 THEN 'zero_amount' WHEN state IS NULL THEN 'unrecognized_status' END AS reject0
   FROM (SELECT parsed.*, unnest(CASE WHEN k % 3 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM parsed)),
 judged AS (SELECT *, CASE WHEN reject0 IS NOT NULL THEN reject0 WHEN row_number() OVER (PARTITION BY reject0 IS NULL, k % 4, vendor_normalized, trim(invoice_number) ORDER BY source_row) > 1 THEN '{clean.REPEATED_LINE}' END AS reject_reason FROM judged0)"""
+    every = f"every_finding AS (SELECT exception_id, invoice_id, rule_code, related_id FROM (SELECT *, invoice_id * 4 + CASE rule_code WHEN 'DUP_EXACT' THEN 0 ELSE 1 END AS exception_id FROM (({exact}) UNION ALL ({near}))) UNION ALL SELECT invoice_id * 4 + CASE rule_code WHEN 'MISSING_GL' THEN 3 ELSE 2 END, invoice_id, rule_code, related_id FROM (({over}) UNION ALL ({gl})))"
     doubled = lambda t, k: f"SELECT count(*) FROM (SELECT 1 FROM {t} GROUP BY {k} HAVING count(*) > 1)"
     planted = """vendors2 AS (SELECT vendor_id, normalized_name, payment_terms_days FROM vendors UNION ALL SELECT -vendor_id, normalized_name, payment_terms_days FROM vendors WHERE vendor_id % 10 = 0),
 invoices2 AS (SELECT invoice_id, vendor_id, invoice_number, invoice_date, due_date, status FROM invoices UNION ALL SELECT invoice_id, CASE WHEN invoice_id % 2 = 0 THEN vendor_id ELSE -vendor_id END, invoice_number, invoice_date, invoice_date - 1, CASE WHEN invoice_id % 3 = 0 THEN 'odd' ELSE status END FROM invoices WHERE invoice_id % 45 = 0),
@@ -327,4 +329,4 @@ UNION ALL SELECT 'orphan_lines', count(*) FROM inv_lines WHERE invoice_id NOT IN
         "severity_sorted_feed": w(base, dups) + f"SELECT exception_id, rule_code, severity, amount FROM ({feed}) WHERE rule_code = 'DUP_EXACT'",
         "feed_in_order": w(base, aging, dups) + f"""SELECT row_number() OVER (ORDER BY CASE severity WHEN 'critical' THEN 1 WHEN 'warn' THEN 2 ELSE 3 END, amount DESC, exception_id) - 1 AS place, exception_id, rule_code, severity, amount
 FROM (SELECT exception_id, rule_code, severity, invoice_id FROM dups WHERE NOT resolved UNION ALL SELECT invoice_id * 4 + CASE rule_code WHEN 'MISSING_GL' THEN 3 ELSE 2 END, rule_code, severity, invoice_id FROM (({over}) UNION ALL ({gl}))) JOIN invoices USING (invoice_id) ORDER BY place LIMIT 200""",
-    }
+    } | more_queries.oracle_sql(base, aging, dups, every, number_key)
