@@ -77,14 +77,15 @@ def parse(formatted: Column) -> Column:
         lambda acc, p: F.struct((acc["at"] + F.length(p) + len(END)).alias("at"), F.array_append(acc["all"], F.struct(p.alias("piece"), acc["at"].alias("at"))).alias("all")),
         lambda acc: acc["all"],
     )
-    whole = F.filter(placed, lambda x, i: (i < F.size(pieces) - 1) | (x["piece"] != ""))
+    ended = F.transform(placed, lambda x, i: F.struct(x["piece"].alias("piece"), x["at"].alias("at"), (i < F.size(pieces) - 1).alias("ended")))
+    whole = F.filter(ended, lambda x: x["ended"] | (x["piece"] != ""))
 
     def turn(x: Column, found: Column) -> Column:
         start = x["at"] + found["start"]
         text = unescape(F.substring(x["piece"], found["start"] + 1, found["length"]))
         return F.struct(found["role"].alias("role"), text.alias("text"), start.alias("start"), (start + found["length"]).alias("end"))
 
-    return F.transform(F.transform(whole, lambda x: F.struct(x.alias("x"), body(x["piece"]).alias("found"))), lambda y: turn(y["x"], y["found"]))
+    return F.transform(F.transform(whole, lambda x: F.struct(x.alias("x"), F.when(x["ended"], body(x["piece"])).alias("found"))), lambda y: turn(y["x"], y["found"]))
 
 
 def recovered(formatted: Column) -> Column:
