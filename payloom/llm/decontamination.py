@@ -9,8 +9,9 @@ as long as the walk ends inside the item. Steps, stride and repetitions are deri
 with the most edits, spread at random, is TARGET. A key match is a candidate if enough words around it are the item's, and is verified by the exact edit distance between the item
 and the best substring of the document there (Myers' bit vectors): at most EDITS of the item's words may be inserted, deleted or replaced.
 
-Items are handled in blocks of BLOCK items and BLOCK_WORDS words, one pass over the documents each, so memory is bounded for any benchmark. Null or empty texts and items match nothing.
-A document row and an item give at most one hit, the best, then the first. Extra columns are ignored.
+Items are handled in blocks of BLOCK items and BLOCK_WORDS words, one pass over the documents each. However many items share a key, their candidates are compared CANDIDATES at a time, stretch
+by stretch of a text, and none is left out, so memory is bounded for any benchmark but for the words of one text; items of frequent words cost time in proportion to how often their keys match.
+Null or empty texts and items match nothing, and so does an empty table of either. Texts may be of any length. A document row and an item give at most one hit, the best, then the first. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,6 +45,12 @@ MARKS = 1024
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 #: Words behind a text that no walk gets past.
 _PAD = 64
+#: Candidates that are compared at a time, and words of texts that are walked at a time, but for single longer texts.
+CANDIDATES, RUN = 500_000, 500_000
+#: A copy of an item keeps one of its rarest words, one more than edits are allowed. Up to FEW of them are looked for, in stretches of so many words, by so many bins of words.
+FEW, STRETCH, BINS = 4, 128, 8192
+#: Bits for the place of a candidate in its text, which may begin before it.
+_PLACE, _SHIFT = 32, 1 << 24
 #: Bits of a key by which most windows without an item are told.
 SEEN = 20
 
@@ -144,6 +151,42 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def bins_of(words: np.ndarray) -> np.ndarray:
+    return (mix64(words ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BINS)).astype(np.int64)
+
+
+def rarest(items: list[np.ndarray], allowed: np.ndarray) -> np.ndarray:
+    """Bins of each item's words that are rarest among the items, one more than edits are allowed, so that a copy keeps one of them; -1 throughout where that are more than FEW."""
+    out = np.full((len(items), FEW), -1)
+    if not items:
+        return out
+    distinct, place, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    bins, ends = bins_of(distinct), np.cumsum([len(x) for x in items])
+    for n, (end, x, most) in enumerate(zip(ends, items, allowed)):
+        if most < FEW:
+            own = place[end - len(x) : end]
+            first = bins[own[np.argsort(count[own], kind="stable")[: most + 1]]]
+            out[n] = np.r_[first, np.repeat(first[:1], FEW - len(first))]
+    return out
+
+
+class Stretches:
+    """Which bins of words occur in each stretch of 2 * STRETCH words, one from every STRETCH words on."""
+
+    def __init__(self, words: np.ndarray):
+        at, bins = np.arange(len(words)) // STRETCH, bins_of(words)
+        self.there = np.zeros((len(words) // STRETCH + 1) * BINS, bool)
+        self.there[at * BINS + bins] = True
+        self.there[np.maximum(at - 1, 0) * BINS + bins] = True
+
+    def hold(self, first: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """Whether the STRETCH words from each first one on may hold one of the words, or no words are given."""
+        out, base = rare[:, 0] < 0, np.maximum(first, 0) // STRETCH * BINS
+        for k in range(FEW):
+            out = out | self.there[base + rare[:, k]]
+        return out
+
+
 @dataclass
 class Index:
     """A block of items: for each kind of walk and repetition the sorted keys with item and offset, and each item's marks."""
@@ -152,12 +195,16 @@ class Index:
     items: list[np.ndarray]
     tables: list[tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
     marks: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+    allowed: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    rare: np.ndarray = field(default_factory=lambda: np.zeros((0, FEW), np.int64))
 
     @classmethod
     def build(cls, rows: list[tuple[int, str | None]], edits: float = EDITS) -> Index:
         kept = [(i, k) for i, t in rows if len(k := word_keys(t))]
         index = cls([i for i, _ in kept], [k for _, k in kept])
         index.marks = np.zeros(len(index.items) * MARKS, bool)
+        index.allowed = np.array([int(edits * len(k)) for k in index.items], np.int64)
+        index.rare = rarest(index.items, index.allowed)
         by_plan: dict[tuple[int, int, int, int], list[int]] = {}
         for n, words in enumerate(index.items):
             by_plan.setdefault(plan(len(words), edits), []).append(n)
@@ -180,19 +227,39 @@ class Index:
             index.tables.append((steps, stride, repetition, keys[order], owners[order], offsets[order], seen))
         return index
 
-    def candidates(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places where an item could begin, and the items, for a run of words that is padded by _PAD."""
-        n, coins = len(words) - _PAD, Coins(words)
+    def probes(self, words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each kind of walk: the starts whose key some items have, where these begin in the key's table, how many they are, and the table's items and offsets. words are padded by _PAD."""
+        n, coins, out = len(words) - _PAD, Coins(words), []
         for steps, stride, repetition, keys, owners, offsets, seen in self.tables:
             starts = np.arange(0, n, stride)
             found, _ = walk(coins, starts, steps, repetition)
             hit = np.flatnonzero(seen[(found >> np.uint64(64 - SEEN)).astype(np.int64)])
             low, high = np.searchsorted(keys, found[hit], "left"), np.searchsorted(keys, found[hit], "right")
-            count = high - low
-            hit, low, count = hit[count > 0], low[count > 0], count[count > 0]
-            if len(hit):
-                each = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-                yield np.repeat(starts[hit], count) - offsets[each], owners[each]
+            some = high > low
+            out.append((starts[hit[some]], low[some], (high - low)[some], owners, offsets))
+        return out
+
+    def candidates(self, words: np.ndarray, most: int = CANDIDATES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Starts, the places where an item could begin, and the items, for a run of words that is padded by _PAD: about `most` at a time, stretch by stretch of the words.
+
+        All that match at one start come together, so a stretch of one start may have more, but no more than the block of items has words, for each kind of walk."""
+        probes = self.probes(words)
+        total = np.zeros(len(words), np.int64)
+        for starts, _, count, *_ in probes:
+            total[starts] += count
+        upto = np.cumsum(total)
+        edges = np.unique(np.r_[0, np.searchsorted(upto, np.arange(most, upto[-1], most), "left") + 1, len(words)])
+        for x, y in zip(edges, edges[1:]):
+            found = []
+            for starts, low, count, owners, offsets in probes:
+                a, b = np.searchsorted(starts, [x, y])
+                if a < b:
+                    n = count[a:b]
+                    each = np.repeat(low[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    at = np.repeat(starts[a:b], n)
+                    found.append((at, at - offsets[each], owners[each]))
+            if found:
+                yield tuple(np.concatenate(c) for c in zip(*found))
 
     def alike(self, words: np.ndarray, first: np.ndarray, lengths: np.ndarray, item: np.ndarray, least: np.ndarray) -> np.ndarray:
         """Whether runs of words hold at least so many words with a mark of the item; every word of the item has one."""
@@ -205,34 +272,48 @@ class Index:
                 out[a:b] = np.add.reduceat(self.marks[np.repeat(item[a:b] * MARKS, n) + marks[at]], before, dtype=np.int64) >= least[a:b]
         return out
 
-    def hits(self, texts: list[str | None], edits: float = EDITS) -> list[tuple[int, int, int, int]]:
-        """(row, item, edits, end word) of verified matches, the best of each row and item."""
+    def hits(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
+        """(row, item, edits, end word) of verified matches, the best of each row and item. Texts are handled some at a time, RUN words or one text, and their candidates CANDIDATES at a time."""
         rows = [word_keys(t) for t in texts]
-        ends = np.cumsum([len(r) for r in rows])
-        flat = np.concatenate([*rows, np.zeros(_PAD, np.uint64)])
-        got = list(self.candidates(flat))
-        if not got:
-            return []
-        begin, item = (np.concatenate(x) for x in zip(*got))
-        row = np.searchsorted(ends, np.clip(begin, 0, None), "right")
-        # an item may be shifted over the edge of a text, so its neighbour is tried, too
-        r, i, b = np.unique(np.stack([np.r_[row, row + 1], np.r_[item, item], np.r_[begin, begin] // 4]), axis=1)
-        r, i, b = (x[r < len(rows)] for x in (r, i, b))
-        sizes = np.array([len(x) for x in self.items])[i]
-        lengths = np.array([len(x) for x in rows])[r]
-        allowed = np.array([int(edits * len(x)) for x in self.items])[i]
-        low = np.maximum(0, 4 * b - (ends[r] - lengths) - allowed - 4)
-        high = np.minimum(lengths, 4 * b + 4 - (ends[r] - lengths) + sizes + 2 * allowed + 4)
-        some = np.flatnonzero(high - low >= np.maximum(1, sizes - allowed))
-        some = some[self.alike(flat, ends[r[some]] - lengths[some] + low[some], high[some] - low[some], i[some], (sizes - allowed)[some])]
+        upto = np.cumsum([len(r) for r in rows])
+        out, a = [], 0
+        while a < len(rows):
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + RUN, "right")))
+            out += [(a + r, *x) for r, *x in self.verified(rows[a:b])]
+            a = b
+        return out
+
+    def verified(self, rows: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
+        sizes_of, lengths_of = np.array([len(x) for x in self.items], np.int64), np.array([len(x) for x in rows], np.int64)
+        ends, flat = np.cumsum(lengths_of), np.concatenate([*rows, np.zeros(_PAD, np.uint64)])
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for r, i, low, high, m, allowed in zip(*(x[some].tolist() for x in (r, i, low, high, sizes, allowed))):
-            if best.get((r, i), (m, 0))[0] > 0:
-                if np.isin(self.items[i], rows[r][low:high]).sum() < m - allowed:  # every word that isn't there is an edit
-                    continue
-                found, end = best_match(self.items[i], rows[r][low:high])
-                if found <= allowed:
-                    best[r, i] = min(best.get((r, i), (m, 0)), (found, low + end))
+        if not self.items:
+            return []
+        stretches = Stretches(flat)
+        for start, begin, item in self.candidates(flat):
+            kept = stretches.hold(begin - self.allowed[item] - 8, self.rare[item])
+            start, begin, item = start[kept], begin[kept], item[kept]
+            # the words of a match are of the text in which its walk starts; matches of one item within four words of each other are looked at once
+            row = np.searchsorted(ends, start, "right")
+            inside = row < len(rows)
+            row, begin, item = row[inside], begin[inside], item[inside]
+            quarter = (begin - (ends[row] - lengths_of[row])) // 4 + _SHIFT
+            packed = np.unique(((row * len(self.items) + item) << _PLACE) | quarter)
+            both, b = packed >> _PLACE, (packed & ((1 << _PLACE) - 1)) - _SHIFT
+            r, i = both // len(self.items), both % len(self.items)
+            sizes, lengths = sizes_of[i], lengths_of[r]
+            allowed = self.allowed[i]
+            low = np.maximum(0, 4 * b - allowed - 4)
+            high = np.minimum(lengths, 4 * b + 4 + sizes + 2 * allowed + 4)
+            some = np.flatnonzero(high - low >= np.maximum(1, sizes - allowed))
+            some = some[self.alike(flat, ends[r[some]] - lengths[some] + low[some], high[some] - low[some], i[some], (sizes - allowed)[some])]
+            for r, i, low, high, m, most in zip(*(x[some].tolist() for x in (r, i, low, high, sizes, allowed))):
+                if best.get((r, i), (m, 0))[0] > 0:
+                    if np.isin(self.items[i], rows[r][low:high]).sum() < m - most:  # every word that isn't there is an edit
+                        continue
+                    found, end = best_match(self.items[i], rows[r][low:high])
+                    if found <= most:
+                        best[r, i] = min(best.get((r, i), (m, 0)), (found, low + end))
         return [(r, i, *x) for (r, i), x in best.items()]
 
 
