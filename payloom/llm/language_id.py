@@ -7,6 +7,7 @@ marked as rejected, while the nearest language is still reported.
 
 Document frequencies are counted over all training documents. The clusters are fitted on a bounded sample (SAMPLE documents, dealt
 evenly over all languages by hash, one of each at least), of which trigram counts, not texts, come to the driver. Null texts and texts without letters are `und` with score 0. Without a training document all are `und`.
+Repeated rows each count and get a row; further columns are ignored; an empty table gives an empty result. Texts may be of any length; equal distances go to the first centroid.
 """
 
 from __future__ import annotations

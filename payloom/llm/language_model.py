@@ -18,7 +18,7 @@ Neither the model nor the counts ever sit in one place:
 Chunks and shards are about as large as each other and grow with the root of the input, so that the messages between them, at least MESSAGE bytes of text each, grow
 in proportion to it. Words that make up more than HOT of a chunk's are dealt over several shards by successor, so no shard grows with one word.
 Successors are told apart by 32 bits within their context. Null texts are empty: one token, the end. Repeated rows each count and get a row; extra columns are
-ignored; an empty table gives an empty result.
+ignored; an empty table gives an empty result. A very long text is a chunk of its own, whole.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ with failing matches dropped. Further kinds come from schemes and cues: a URL wi
 social-security number, an account number, a secret. They are added; base spans stay.
 
 Null and empty texts have no spans; a repeated row gets a repeated result; columns other than doc_id and
-text are ignored; an empty table gives an empty result. Offsets are code points, ends exclusive.
+text are ignored; an empty table gives an empty result. Texts may be of any length; each is held whole in its
+task. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ and a logistic model weighs the two into one score for every document, from 0 to
 
 Fitted on bounded samples, the lowest by hash: PER_CLASS labelled rows of each class whose crc32 remainder modulo 5 isn't 0, and POOL unlabelled documents. The
 rates by source (hashed into SOURCES buckets) and language are counted over all labelled training rows. All documents are scored, whole.
-Null and empty texts have zero measures; missing metadata has the rate of all. Without labels of both classes the score is the share of label 1, or 0.
+Null and empty texts have zero measures; missing metadata has the rate of all. Repeated rows each get a score, and each counts as a row in fitting; further columns are ignored; an empty table
+gives an empty result. Texts may be of any length. Without labels of both classes the score is the share of label 1, or 0.
 """
 
 from __future__ import annotations

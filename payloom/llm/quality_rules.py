@@ -6,7 +6,8 @@ applied to a stored ledger without the texts, and the effect of leaving out a ru
 the counts of the distinct bit patterns.
 
 A null text counts as empty: no words, so it fails `too_few_words`. Repeated rows each get a row; columns other
-than doc_id and text are ignored; an empty table gives an empty ledger.
+than doc_id and text are ignored; an empty table gives an empty ledger. A measurement that equals a rule's bound
+is treated as the rule is written (`<` doesn't fail it). Texts may be of any length.
 """
 
 from __future__ import annotations

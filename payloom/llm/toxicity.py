@@ -6,7 +6,7 @@ letter substitutions are undone, and rates of capitals, punctuation and obfuscat
 they occur in all labelled training rows. Every text is scored whole.
 
 Null and empty texts get the score of a text without any hit. Without labels of both classes every score is the share of toxic labels, or 0.
-Repeated rows each get a score; extra columns are ignored.
+Repeated rows each get a score; extra columns are ignored; an empty table gives an empty result. Texts may be of any length.
 """
 
 from __future__ import annotations
