@@ -73,7 +73,8 @@ def test_variants_of_all_edits(spark):
     assert any(w == "gqouqingg" and r == "grouping" for w, _, r, *_ in want) and max(x[4] for x in want) > 10
     for hot in (spelling_variants.HOT, 2):
         assert found(spelling_variants.group_variants(df, hot=hot)) == want
-    assert found(spelling_variants.group_variants(df, shortest=4, least=1, ratio=2)) == variants(docs, 4, 1, 2)
+    few = [d for d in docs if d[0] in (0, 3, 98)]
+    assert found(spelling_variants.group_variants(df.where("doc_id IN (0, 3, 98)"), shortest=4, least=1, ratio=2)) == variants(few, 4, 1, 2)
     assert spelling_variants.group_variants(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         spelling_variants.group_variants(df, shortest=3)
